@@ -484,7 +484,7 @@ add("o04_products_after", "SELECT * FROM prod WHERE id < 150 ORDER BY id DESC LI
 add("d01_first_seen_ten_minutes", """
 SELECT p.event_type, p.t AS at_ms, f.event_id FROM passed p JOIN moments f ON f.event_type = p.event_type AND f.t = p.t""",
     """
-moments AS (SELECT event_type, epoch_ms(ts) AS t, min(event_id) AS event_id FROM events GROUP BY ALL)""", """
+moments AS (SELECT event_type, epoch_us(ts) // 1000 AS t, min(event_id) AS event_id FROM events GROUP BY ALL)""", """
 nexts AS (SELECT event_type, t, min(t) OVER (PARTITION BY event_type ORDER BY t
           RANGE BETWEEN 600000 FOLLOWING AND UNBOUNDED FOLLOWING) AS later FROM moments)""", """
 passed AS (

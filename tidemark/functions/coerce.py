@@ -1,7 +1,9 @@
-"""Safe field coercions over a VARIANT value: bad input gives NULL, never an error.
+"""Safe field coercions: bad input gives NULL, never an error.
 
-JSON numbers and JSON text follow different rules, so each coercion first looks
-at the kind of the value.
+A field arrives as ``text`` (the JSON text or number as a string). JSON numbers
+and JSON text follow different rules only where the text looks like a number that
+is not an integer: ``7.9`` truncates to 7, ``"7.9"`` is refused. ``number`` is the
+field read as a JSON number (NULL for JSON text) and is evaluated in that case only.
 """
 
 from __future__ import annotations
@@ -9,56 +11,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_INTEGER_TEXT = r"^[+-]?[0-9]+$"
-_DECIMAL_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_INSTANT_TEXT = r"^[+-]?[0-9]{4,}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?Z$"
+_INTEGER = r"^[+-]?[0-9]+$"
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_INSTANT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?Z$"
 
 
-def _kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def to_whole(text: Column, number: Column, sql_type: str = "bigint") -> Column:
+    """Numbers truncate; text must be a plain integer; out of range gives NULL."""
+    return (F.when(text.rlike(_INTEGER), text.try_cast(sql_type))
+            .when(text.rlike(_NUMBER), number.try_cast(sql_type)))
 
 
-def _is_text(value: Column) -> Column:
-    return _kind(value) == "STRING"
+def to_long(text: Column, number: Column) -> Column:
+    return to_whole(text, number, "bigint")
 
 
-def _is_number(value: Column) -> Column:
-    return _kind(value).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+def to_int(text: Column, number: Column) -> Column:
+    return to_whole(text, number, "int")
 
 
-def to_text(value: Column) -> Column:
-    """Text of any scalar."""
-    return F.try_variant_get(value, "$", "string")
-
-
-def _whole(value: Column, sql_type: str) -> Column:
-    text = to_text(value)
-    return (F.when(_is_number(value), F.try_variant_get(value, "$", sql_type))
-            .when(_is_text(value) & text.rlike(_INTEGER_TEXT), text.try_cast(sql_type)))
-
-
-def to_long(value: Column) -> Column:
-    """Numbers truncate; text must be a plain integer."""
-    return _whole(value, "bigint")
-
-
-def to_int(value: Column) -> Column:
-    """As :func:`to_long`; values outside 32 bits give NULL."""
-    return _whole(value, "int")
-
-
-def to_decimal(value: Column, precision: int = 10, scale: int = 2) -> Column:
+def to_decimal(text: Column, precision: int = 10, scale: int = 2) -> Column:
     """Text or number to a decimal, rounded half up; overflow gives NULL."""
-    sql_type = f"decimal({precision},{scale})"
-    text = to_text(value)
-    return (F.when(_is_number(value), F.try_variant_get(value, "$", sql_type))
-            .when(_is_text(value) & text.rlike(_DECIMAL_TEXT), text.try_cast(sql_type)))
+    return F.when(text.rlike(_NUMBER), text.try_cast(f"decimal({precision},{scale})"))
 
 
-def to_instant(value: Column) -> Column:
+def to_instant(text: Column, number: Column) -> Column:
     """Epoch milliseconds (number or digits) or an ISO instant ending in ``Z``."""
-    text = to_text(value)
-    millis = (F.when(_is_number(value), F.try_variant_get(value, "$", "bigint"))
-              .when(_is_text(value) & text.rlike(_INTEGER_TEXT), text.try_cast("bigint")))
-    return (F.when(_is_text(value) & text.rlike(_INSTANT_TEXT), text.try_cast("timestamp"))
-            .otherwise(F.timestamp_millis(millis)))
+    return (F.when(text.rlike(_INSTANT), text.try_cast("timestamp"))
+            .otherwise(F.timestamp_millis(to_long(text, number))))

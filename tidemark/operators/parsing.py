@@ -11,49 +11,83 @@ from pyspark.sql import types as T
 from tidemark.functions import coerce
 from tidemark.schemas import ITEM_REQUIRED, ORDER_ITEMS, ORDER_REQUIRED, ORDERS
 
+_NUMERIC = (T.LongType, T.IntegerType, T.TimestampType)
 
-def images(events: DataFrame) -> DataFrame:
-    """Parse each text once; keep ``value`` and add op, version, position and image.
 
-    The image is ``before`` for a delete and ``after`` for anything else, a missing
-    code included. Image is NULL where the text is not an envelope.
+def _texts(schema: T.StructType) -> T.StructType:
+    """The image with every field as text."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+
+
+def _numbers(schema: T.StructType) -> T.StructType:
+    """The numeric fields of the image as JSON numbers; JSON text reads as NULL."""
+    image = T.StructType([T.StructField(f.name, T.DoubleType()) for f in schema if isinstance(f.dataType, _NUMERIC)])
+    source = T.StructType([T.StructField("pos", T.DoubleType())])
+    return T.StructType([T.StructField("before", image), T.StructField("after", image),
+                         T.StructField("source", source), T.StructField("ts_ms", T.DoubleType())])
+
+
+def _envelope(schema: T.StructType) -> T.StructType:
+    source = T.StructType([T.StructField(n, T.StringType()) for n in ("db", "table", "ts_ms", "file", "pos")])
+    return T.StructType([T.StructField("before", _texts(schema)), T.StructField("after", _texts(schema)),
+                         T.StructField("source", source), T.StructField("op", T.StringType()),
+                         T.StructField("ts_ms", T.StringType())])
+
+
+def _opened(events: DataFrame, schema: T.StructType) -> DataFrame:
+    """Parse each text once.
+
+    The parse sits in a generator, which the optimizer does not move filters
+    through: as a plain column it would be parsed again for every filter on it.
     """
-    doc = events.withColumn("_doc", F.try_parse_json("value"))
-    op = F.try_variant_get("_doc", "$.op", "string")
-    before = F.try_variant_get("_doc", "$.before", "map<string,variant>")
-    after = F.try_variant_get("_doc", "$.after", "map<string,variant>")
-    return doc.select(
-        *[c for c in events.columns],
-        op.alias("cdc_op"),
-        coerce.to_long(F.try_variant_get("_doc", "$.ts_ms", "variant")).alias("cdc_ts_ms"),
-        F.try_variant_get("_doc", "$.source.file", "string").alias("source_file"),
-        coerce.to_long(F.try_variant_get("_doc", "$.source.pos", "variant")).alias("source_pos"),
-        F.when(op.eqNullSafe("d"), before).otherwise(after).alias("image"))
+    return events.select(*events.columns, F.inline(F.array(F.from_json("value", _envelope(schema)))))
 
 
-def has_image() -> Column:
-    return F.coalesce(F.size("image"), F.lit(0)) > 0
+def _pick(before, after) -> Column:
+    """``before`` for a delete, ``after`` for anything else, a missing code included."""
+    return F.when(F.col("op").eqNullSafe("d"), before).otherwise(after)
 
 
-def _typed(field: T.StructField) -> Column:
-    value = F.col("image")[field.name]
+def _has_image(schema: T.StructType) -> Column:
+    """The image is an object with at least one field, known or not."""
+    known = F.coalesce(*[F.col("_image")[f.name] for f in schema]).isNotNull()
+    raw = _pick(F.get_json_object("value", "$.before"), F.get_json_object("value", "$.after"))
+    return known | (F.col("_image").isNotNull() & F.coalesce(raw.rlike(r'^\{\s*"'), F.lit(False)))
+
+
+def _imaged(events: DataFrame, schema: T.StructType) -> DataFrame:
+    return _opened(events, schema).withColumn("_image", _pick(F.col("before"), F.col("after")))
+
+
+def _typed(field: T.StructField, numbers: Column) -> Column:
+    text = F.col("_image")[field.name]
+    number = _pick(numbers["before"][field.name], numbers["after"][field.name]) \
+        if isinstance(field.dataType, _NUMERIC) else None
     if isinstance(field.dataType, T.LongType):
-        out = coerce.to_long(value)
+        out = coerce.to_long(text, number)
     elif isinstance(field.dataType, T.IntegerType):
-        out = coerce.to_int(value)
+        out = coerce.to_int(text, number)
     elif isinstance(field.dataType, T.DecimalType):
-        out = coerce.to_decimal(value, field.dataType.precision, field.dataType.scale)
+        out = coerce.to_decimal(text, field.dataType.precision, field.dataType.scale)
     elif isinstance(field.dataType, T.TimestampType):
-        out = coerce.to_instant(value)
+        out = coerce.to_instant(text, number)
     else:
-        out = coerce.to_text(value)
+        out = text
     return out.alias(field.name)
 
 
 def typed_rows(events: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
-    """Typed log rows of every event that has an image."""
-    return (images(events).filter(has_image())
-            .select(*[_typed(f) for f in schema], "cdc_op", "cdc_ts_ms", *keep))
+    """Typed log rows of every event that has an image.
+
+    ``keep`` names further columns: of ``events``, or ``source_file``/``source_pos``.
+    """
+    numbers = F.from_json("value", _numbers(schema))
+    known = {"source_file": F.col("source.file").alias("source_file"),
+             "source_pos": coerce.to_long(F.col("source.pos"), numbers["source"]["pos"]).alias("source_pos")}
+    return _imaged(events, schema).filter(_has_image(schema)).select(
+        *[_typed(f, numbers) for f in schema], F.col("op").alias("cdc_op"),
+        coerce.to_long(F.col("ts_ms"), numbers["ts_ms"]).alias("cdc_ts_ms"),
+        *[known.get(k, F.col(k)) for k in keep])
 
 
 def order_rows(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -64,11 +98,11 @@ def item_rows(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return typed_rows(events, ORDER_ITEMS, keep)
 
 
-def bad_events(events: DataFrame) -> DataFrame:
+def bad_events(events: DataFrame, schema: T.StructType) -> DataFrame:
     """Events that give no row, with the reason."""
-    reason = (F.when(F.try_parse_json("value").isNull(), "not json")
-              .otherwise("no image"))
-    return images(events).filter(~has_image()).select("value", reason.alias("reason"))
+    reason = F.when(F.get_json_object("value", "$").isNull(), "not json").otherwise("no image")
+    return (_imaged(events, schema).filter(~F.coalesce(_has_image(schema), F.lit(False)))
+            .select("value", reason.alias("reason")))
 
 
 def complete(required: Sequence[str]) -> Column:
