@@ -498,6 +498,10 @@ SELECT max(o.cdc_ts_ms) AS last_change_ms, max(epoch_ms(l_shipdate)) AS last_arr
        max(epoch_ms(l_shipdate) - o.cdc_ts_ms) AS max_delay_ms
 FROM lineitem JOIN o_log o ON o.id = l_orderkey""")
 
+add("s05_stream_current_orders", "SELECT * FROM o")
+add("s06_stream_current_items", "SELECT * FROM i")
+add("d01_stream_first_seen", "SELECT l_orderkey AS id, min(epoch_ms(l_shipdate)) AS cdc_ts_ms FROM lineitem GROUP BY l_orderkey")
+
 # --- quality ------------------------------------------------------------------
 
 add("k01_count_reconciliation", """

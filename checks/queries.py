@@ -13,9 +13,11 @@ from tidemark.functions import calendar as cal
 from tidemark.functions.money import money_text, op_label, status_label, time_text
 from tidemark.operators import dedup, partials, parsing, routing, versions
 from tidemark.plans import baskets, quality, reports, rollups, service
-from tidemark.schemas import ORDER_STATUSES, ORDERS
-from tidemark.sources import envelopes, readers
+from tidemark.schemas import ORDER_STATUSES, ORDERS, ORDERS_LOG
+from tidemark.session import fresh_path
+from tidemark.sources import envelopes, readers, writers
 from tidemark.sources import sample_tables as st
+from tidemark.streaming import jobs
 
 AS_OF, EVENTS_AS_OF = st.AS_OF, st.EVENTS_AS_OF
 QUERIES = {}
@@ -130,7 +132,6 @@ def v02_merge_changes(spark, root):
 @query
 def v02_compacted_snapshot(spark, root):
     """Log written by month, compacted to a snapshot, snapshot read back."""
-    from tidemark.session import fresh_path
     log_path, out = fresh_path(spark, "items-log"), fresh_path(spark, "items-current")
     versions.write_by_month(st.items_log(spark, root), log_path)
     versions.compact(spark, log_path, out, ties=("product_id",))
@@ -708,3 +709,47 @@ def k11_deletable_users(spark, root):
 @query
 def k11_blocked_users(spark, root):
     return quality.blocked_users(st.users(spark, root), st.orders(spark, root))
+
+
+# --- streams --------------------------------------------------------------------
+
+def _captured(events: DataFrame, base: str) -> None:
+    """Run the capture job over what is there; it leaves one folder per topic."""
+    jobs.capture(events, f"{base}/checkpoints/capture", path=f"{base}/topics", every=None).awaitTermination()
+
+
+def _topic(spark, base: str, table: str) -> DataFrame:
+    return readers.change_stream(spark, f"topic={writers.TOPICS[table]}", path=f"{base}/topics")
+
+
+@query
+def s05_stream_current_orders(spark, root):
+    """Capture to topic files, sync to the change log, newest version per id."""
+    base = fresh_path(spark, "stream-orders")
+    log = st.orders_from(readers.table_stream(spark, root, "orders"))
+    _captured(envelopes.order_envelopes(log), base)
+    jobs.sync(_topic(spark, base, "orders"), "orders", base, every=None, state_partitions=8).awaitTermination()
+    return jobs.current_rows(spark, base, "orders")
+
+
+@query
+def s06_stream_current_items(spark, root):
+    """The same for items, named by a stream-static join. All versions go to the log:
+    some share (id, version), and only the read rule tells which of them wins."""
+    base = fresh_path(spark, "stream-items")
+    log = st.items_from(readers.table_stream(spark, root, "lineitem"), st.table(spark, root, "part"))
+    _captured(envelopes.item_envelopes(log), base)
+    jobs.sync(_topic(spark, base, "order_items"), "order_items", base, every=None, mode="all").awaitTermination()
+    return jobs.current_rows(spark, base, "order_items", ("product_id",))
+
+
+@query
+def d01_stream_first_seen(spark, root):
+    """First status per order; what is held back within the period never arrives."""
+    base = fresh_path(spark, "stream-first-seen")
+    history = st.status_rows(readers.table_stream(spark, root, "lineitem"))
+    _captured(envelopes.order_envelopes(history), base)
+    # An interval: a processing-time timer never lets a finite run end by itself.
+    jobs.drain(jobs.sync(_topic(spark, base, "orders"), "orders", base, every="1 second", mode="first_seen",
+                         state_partitions=8))
+    return writers.read_log(spark, f"{base}/orders", ORDERS_LOG).select("id", "cdc_ts_ms")

@@ -57,12 +57,17 @@ def _named(items: DataFrame, part: DataFrame) -> DataFrame:
         "created_at", "updated_at", "deleted_at", "cdc_op", "cdc_ts_ms")
 
 
+def items_from(raw: DataFrame, part: DataFrame) -> DataFrame:
+    """Item log rows from the sample ``lineitem`` columns (batch or stream)."""
+    return _named(_item_keys(raw), part)
+
+
 def orders_log(spark: SparkSession, root: str) -> DataFrame:
     return orders_from(table(spark, root, "orders"))
 
 
 def items_log(spark: SparkSession, root: str) -> DataFrame:
-    return _named(_item_keys(table(spark, root, "lineitem")), table(spark, root, "part"))
+    return items_from(table(spark, root, "lineitem"), table(spark, root, "part"))
 
 
 def orders(spark: SparkSession, root: str) -> DataFrame:
@@ -130,6 +135,16 @@ def status_log(spark: SparkSession, root: str) -> DataFrame:
         (F.col("l_linenumber").cast("bigint") * 1_000_000_000 + F.col("l_partkey")).alias("source_pos"))
 
 
+def status_rows(raw: DataFrame) -> DataFrame:
+    """The status history in the shape of order log rows (batch or stream)."""
+    shipped = F.col("l_shipdate").cast("timestamp")
+    return raw.select(
+        F.col("l_orderkey").alias("id"), F.col("l_suppkey").alias("user_id"), F.lit("PENDING").alias("status"),
+        F.col("l_extendedprice").cast("decimal(10,2)").alias("total_amount"),
+        shipped.alias("created_at"), shipped.alias("updated_at"), F.lit(None).cast("timestamp").alias("deleted_at"),
+        F.lit("u").alias("cdc_op"), F.unix_millis(shipped).alias("cdc_ts_ms"))
+
+
 def stock_moves(spark: SparkSession, root: str) -> DataFrame:
     """Stock adjustments per product: returned lines add, the others take away."""
     shipped = F.col("l_shipdate").cast("timestamp")
