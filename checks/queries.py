@@ -750,6 +750,6 @@ def d01_stream_first_seen(spark, root):
     history = st.status_rows(readers.table_stream(spark, root, "lineitem"))
     _captured(envelopes.order_envelopes(history), base)
     # An interval: a processing-time timer never lets a finite run end by itself.
-    jobs.drain(jobs.sync(_topic(spark, base, "orders"), "orders", base, every="1 second", mode="first_seen",
+    jobs.drain(jobs.sync(_topic(spark, base, "orders"), "orders", base, every="5 seconds", mode="first_seen",
                          state_partitions=8))
     return writers.read_log(spark, f"{base}/orders", ORDERS_LOG).select("id", "cdc_ts_ms")

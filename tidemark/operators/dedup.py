@@ -46,17 +46,21 @@ def first_seen(rows: DataFrame, key: str, at_ms: str, tie: str, ttl_ms: int = 60
         n = min(starts, len(t))
         ends = t[last[:n]]
         keep = np.append(ends[1:] != ends[:-1], True)
-        return pd.DataFrame({"k": pdf["k"].iloc[0], "r": r, "upto": t[:n][keep], "ends": ends[keep]})
+        return pd.DataFrame({"k": np.full(keep.sum(), pdf["k"].iloc[0], dtype=object), "r": r,
+                             "upto": t[:n][keep], "ends": ends[keep]})
 
     def follow(pdf):
+        import numpy as np
         import pandas as pd
-        opens, out = None, []
+        opens, ranges, starts = None, [], []
         for r, steps in pdf.sort_values(["r", "upto"]).groupby("r", sort=True):
-            out.append((pdf["k"].iloc[0], r, opens))
+            ranges.append(r)
+            starts.append(opens)
             reach = steps if opens is None else steps[steps["upto"] >= opens]
             if len(reach):
                 opens = int(reach["ends"].iloc[0]) + ttl_ms
-        return pd.DataFrame(out, columns=["k", "r", "opens"]).astype({"opens": "Int64"})
+        return pd.DataFrame({"k": np.full(len(ranges), pdf["k"].iloc[0], dtype=object), "r": ranges,
+                             "opens": pd.array(starts, dtype="Int64")})
 
     def passes(pdf):
         import numpy as np
@@ -68,7 +72,7 @@ def first_seen(rows: DataFrame, key: str, at_ms: str, tie: str, ttl_ms: int = 60
         while i < len(t):
             out.append(t[i])
             i = int(np.searchsorted(t, t[i] + ttl_ms))
-        return pd.DataFrame({"k": [pdf["k"].iloc[0]] * len(out), "t": np.array(out, dtype="int64")})
+        return pd.DataFrame({"k": np.full(len(out), pdf["k"].iloc[0], dtype=object), "t": np.array(out, dtype="int64")})
 
     steps = moments.groupBy("k", "r").applyInPandas(answers, f"k {kind}, r bigint, upto bigint, ends bigint")
     entries = steps.groupBy("k").applyInPandas(follow, f"k {kind}, r bigint, opens bigint")

@@ -88,7 +88,7 @@ def drain(query: StreamingQuery, poll_s: float = 0.5, limit_s: float = 600.0) ->
             last = query.lastProgress
             if last is not None and last["numInputRows"] > 0:
                 started = True
-            elif started or (last is not None and last["batchId"] > 0):
+            elif (started or (last is not None and last["batchId"] > 0)) and not query.status["isTriggerActive"]:
                 return
             time.sleep(poll_s)
     finally:
