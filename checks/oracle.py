@@ -166,6 +166,7 @@ SELECT id, CASE status WHEN 'PENDING' THEN '대기중' WHEN 'PROCESSING' THEN '
 # --- rollups ------------------------------------------------------------------
 
 add("q01_product_daily", "SELECT * FROM daily", LINES, DAILY)
+add("s18_backfilled_rollup", "SELECT * FROM daily", LINES, DAILY)
 add("d08_touched_keys_refresh", "SELECT * FROM daily", LINES, DAILY)
 add("q01_product_daily_active", DAILY_SELECT + """
 FROM (SELECT i.*, o.user_id FROM i JOIN o ON o.id = i.order_id
@@ -374,6 +375,15 @@ WHERE a.cdc_op <> 'd' AND b.cdc_op <> 'd' AND a.created_at >= {AS_OF} - INTERVAL
 GROUP BY 1, 2 HAVING count(DISTINCT a.order_id) >= 3 ORDER BY co_purchase_count DESC, product_a, product_b LIMIT 20"""
 
 
+for name in ("q18_bought_together_unordered", "q18_bought_together_unordered_lookup"):
+    add(name, f"""
+SELECT x.product_name AS product_a, y.product_name AS product_b, count(*) AS co_purchase_count,
+       {r4('sum(x.amount + y.amount)', 'count(*)')} AS avg_bundle_revenue
+FROM named x JOIN named y ON x.order_id = y.order_id AND x.product_name < y.product_name AND (x.recent OR y.recent)
+GROUP BY 1, 2 HAVING count(*) >= 3 ORDER BY co_purchase_count DESC, product_a, product_b LIMIT 20""", f"""
+named AS (SELECT order_id, product_name, sum(subtotal) AS amount,
+                 bool_or(created_at >= {AS_OF} - INTERVAL 900 DAY) AS recent
+          FROM i WHERE cdc_op <> 'd' GROUP BY ALL)""")
 add("q18_bought_together", together(30))
 add("q18_bought_together_long", together(900))
 
@@ -493,6 +503,9 @@ passed AS (
   SELECT n.event_type, n.later FROM passed p JOIN nexts n ON n.event_type = p.event_type AND n.t = p.t
   WHERE n.later IS NOT NULL)""")
 add("d02_distinct_versions", "SELECT id, count(DISTINCT cdc_ts_ms) AS versions FROM i_log GROUP BY id")
+add("d09_replayed_range", """
+SELECT * FROM i_log WHERE cdc_ts_ms >= 820454400000 AND cdc_ts_ms < 852076800000
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY cdc_ts_ms DESC, product_id DESC) = 1""")
 add("d10_lag", """
 SELECT max(o.cdc_ts_ms) AS last_change_ms, max(epoch_ms(l_shipdate)) AS last_arrival_ms,
        max(epoch_ms(l_shipdate) - o.cdc_ts_ms) AS max_delay_ms

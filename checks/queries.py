@@ -6,6 +6,8 @@ the fixed ``as_of`` of the sample mapping.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from tidemark.functions.money import money_text, op_label, status_label, time_te
 from tidemark.operators import dedup, partials, parsing, routing, versions
 from tidemark.plans import baskets, quality, reports, rollups, service
 from tidemark.schemas import ORDER_STATUSES, ORDERS, ORDERS_LOG
-from tidemark.session import fresh_path
+from tidemark.session import adopt, fresh_path
 from tidemark.sources import envelopes, readers, writers
 from tidemark.sources import sample_tables as st
 from tidemark.streaming import jobs
@@ -24,8 +26,12 @@ QUERIES = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    """Register a query; it runs with the adaptive settings of the library."""
+    @functools.wraps(fn)
+    def run(spark, root):
+        return fn(adopt(spark), root)
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def both_events(spark, root) -> DataFrame:
@@ -329,6 +335,14 @@ def v04_additive_merge(spark, root):
     return rollups.product_daily_merge(rollups.product_daily_of(lines, ["batch"]).drop("batch"))
 
 
+@query
+def s18_backfilled_rollup(spark, root):
+    """The rollup rebuilt into a table and read back."""
+    path = fresh_path(spark, "product-daily")
+    writers.backfill(q01_product_daily(spark, root), path, "sale_date")
+    return spark.read.parquet(path).drop("yyyymm")
+
+
 @query
 def v05_distinct_orders_rows(spark, root):
     orders = st.orders(spark, root)
@@ -489,6 +503,16 @@ def q18_bought_together_long(spark, root):
     return baskets.bought_together(st.items(spark, root), AS_OF, days=900, basket_limit=4)
 
 
+@query
+def q18_bought_together_unordered(spark, root):
+    return baskets.bought_together_unordered(st.items(spark, root), AS_OF, days=900)
+
+
+@query
+def q18_bought_together_unordered_lookup(spark, root):
+    return baskets.bought_together_unordered(st.items(spark, root), AS_OF, days=900, basket_limit=4)
+
+
 @query
 def q19_cohort_ltv(spark, root):
     return reports.cohort_ltv(st.orders(spark, root), AS_OF)
@@ -613,6 +637,14 @@ def d02_distinct_versions(spark, root):
             .agg(F.count("*").cast("bigint").alias("versions")))
 
 
+@query
+def d09_replayed_range(spark, root):
+    """Events written as topic text, one range of them replayed from the start."""
+    path = fresh_path(spark, "replay")
+    envelopes.item_envelopes(st.items_log(spark, root)).write.text(f"{path}/order-items-cdc")
+    return jobs.replay(spark, path, "order_items", 820_454_400_000, 852_076_800_000, ("product_id",))
+
+
 @query
 def d10_lag(spark, root):
     items = st.table(spark, root, "lineitem").select(

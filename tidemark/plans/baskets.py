@@ -32,36 +32,45 @@ from tidemark.operators.staging import staged
 from tidemark.plans.lines import alive
 
 
-def _names_per_order(items: DataFrame, recent: Column) -> DataFrame:
-    return items.groupBy("order_id", "product_name").agg(
+def _recent_orders_only(lines: DataFrame, recent: Column) -> DataFrame:
+    """Lines of orders with at least one recent item; no other order can count."""
+    ids = lines.filter(recent).select("order_id").distinct()
+    return lines.join(ids, "order_id", "left_semi")
+
+
+def _names_per_order(lines: DataFrame, recent: Column) -> DataFrame:
+    names = lines.groupBy("order_id", "product_name").agg(
         F.min(F.when(recent, F.col("id"))).alias("low"), F.max("id").alias("high"))
+    sizes = names.groupBy("order_id").agg(F.count("*").alias("n_names"))
+    return names.join(sizes, "order_id")
 
 
-def _sized(names: DataFrame) -> DataFrame:
-    """Add the number of names; orders without a recent item drop out."""
-    sizes = names.groupBy("order_id").agg(F.count("*").alias("n_names"), F.min("low").alias("any_recent"))
-    return names.join(sizes.filter("any_recent IS NOT NULL").drop("any_recent"), "order_id")
+def _side(names: DataFrame, side: str) -> DataFrame:
+    return names.select("order_id", *[F.col(c).alias(f"{n}_{side}") for c, n in
+                                      (("product_name", "product"), ("low", "low"), ("high", "high"))])
 
 
-def _left(rows: DataFrame, *extra: str) -> DataFrame:
-    return rows.select("order_id", F.col("product_name").alias("product_a"), "low", *extra).filter("low IS NOT NULL")
+def _by_item_id() -> Column:
+    """Some recent item of the first name comes before some item of the second."""
+    return F.col("low_a") < F.col("high_b")
 
 
-def _right(rows: DataFrame, *extra: str) -> DataFrame:
-    return rows.select("order_id", F.col("product_name").alias("product_b"), "high", *extra)
+def _unordered() -> Column:
+    """Two names in alphabetical order, at least one of them recent."""
+    return (F.col("product_a") < F.col("product_b")) & (F.col("low_a").isNotNull() | F.col("low_b").isNotNull())
 
 
 def _count(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("product_a", "product_b").agg(F.count("*").alias("orders"))
 
 
-def pair_counts(names: DataFrame, k: int, basket_limit: int) -> DataFrame:
+def pair_counts(names: DataFrame, holds: Column, k: int, basket_limit: int) -> DataFrame:
     """Order counts per name pair, complete for every pair that can be in the best k."""
-    sized = staged(_sized(names), "basket-names")
+    sized = staged(names, "basket-names")
     limit = basket_limit
     while True:
         small = sized.filter(F.col("n_names") <= limit)
-        direct = _count(_left(small).join(_right(small), "order_id").filter("low < high"))
+        direct = _count(_side(small, "a").join(_side(small, "b"), "order_id").filter(holds))
         n_big = _orders_above(sized, limit)
         if n_big == 0:
             return direct.withColumnRenamed("orders", "co_purchase_count")
@@ -72,8 +81,8 @@ def pair_counts(names: DataFrame, k: int, basket_limit: int) -> DataFrame:
         limit *= 2
     big = sized.filter(F.col("n_names") > limit)
     reach = direct.filter(F.col("orders") >= best[1] - n_big).select("product_a", "product_b")
-    looked_up = _count(_left(big).join(reach, "product_a")
-                       .join(_right(big), ["order_id", "product_b"]).filter("low < high"))
+    looked_up = _count(_side(big, "a").join(reach, "product_a")
+                       .join(_side(big, "b"), ["order_id", "product_b"]).filter(holds))
     return (direct.unionByName(looked_up).groupBy("product_a", "product_b")
             .agg(F.sum("orders").cast("bigint").alias("co_purchase_count")))
 
@@ -82,6 +91,24 @@ def _orders_above(sized: DataFrame, limit: int) -> int:
     return sized.filter(F.col("n_names") > limit).agg(F.count_distinct("order_id")).head()[0]
 
 
+def _roles(best: DataFrame) -> DataFrame:
+    """One row per (pair, name in it): at most twice ``k`` rows, safe to broadcast."""
+    return best.select("product_a", "product_b", F.explode(F.array(
+        F.struct(F.col("product_a").alias("product_name"), F.lit(False).alias("is_b")),
+        F.struct(F.col("product_b").alias("product_name"), F.lit(True).alias("is_b")))).alias("role")
+    ).select("product_a", "product_b", "role.*")
+
+
+def _best(counts: DataFrame, min_orders: int, k: int) -> DataFrame:
+    return staged(counts.filter(F.col("co_purchase_count") >= min_orders)
+                  .orderBy(F.desc("co_purchase_count"), "product_a", "product_b").limit(k), "basket-best")
+
+
+def _lines(items: DataFrame, recent: Column) -> DataFrame:
+    lines = staged(alive(items).select("id", "order_id", "product_name", "subtotal", "created_at"), "basket-lines")
+    return _recent_orders_only(lines, recent)
+
+
 def _bundle_revenue(lines: DataFrame, recent: Column, best: DataFrame, id_range: int) -> DataFrame:
     """Mean of both subtotals over all item pairs of the (at most k) best name pairs.
 
@@ -89,13 +116,9 @@ def _bundle_revenue(lines: DataFrame, recent: Column, best: DataFrame, id_range:
     first name feed a running count and sum, which the lines of the second name
     pick up: the work grows with the lines and not with their pairs.
     """
-    roles = best.select("product_a", "product_b", F.explode(F.array(
-        F.struct(F.col("product_a").alias("product_name"), F.lit(False).alias("is_b")),
-        F.struct(F.col("product_b").alias("product_name"), F.lit(True).alias("is_b")))).alias("role")
-    ).select("product_a", "product_b", "role.*")
     amount = F.col("subtotal").cast("decimal(28,2)")
     is_a = ~F.col("is_b")
-    both = (lines.join(F.broadcast(roles), "product_name").filter(F.col("is_b") | recent)
+    both = (lines.join(F.broadcast(_roles(best)), "product_name").filter(F.col("is_b") | recent)
             .select("product_a", "product_b", "order_id", "id", "is_b", amount.alias("amount"),
                     is_a.cast("bigint").alias("one"),
                     F.when(is_a, amount).otherwise(0).cast("decimal(28,2)").alias("left_amount")))
@@ -110,11 +133,27 @@ def _bundle_revenue(lines: DataFrame, recent: Column, best: DataFrame, id_range:
 def bought_together(items: DataFrame, as_of, days: int = 30, min_orders: int = 3, k: int = 20,
                     basket_limit: int = 1000, id_range: int = 1_000_000) -> DataFrame:
     """The ``k`` name pairs found in the most orders, ordered by item id within a pair."""
-    lines = staged(alive(items).select("id", "order_id", "product_name", "subtotal", "created_at"), "basket-lines")
     recent = cal.since(F.col("created_at"), as_of, f"{days} DAY")
-    counts = pair_counts(_names_per_order(lines, recent), k, basket_limit)
-    best = staged(counts.filter(F.col("co_purchase_count") >= min_orders)
-                  .orderBy(F.desc("co_purchase_count"), "product_a", "product_b").limit(k), "basket-best")
-    revenue = _bundle_revenue(lines, recent, best.select("product_a", "product_b"), id_range)
+    lines = _lines(items, recent)
+    best = _best(pair_counts(_names_per_order(lines, recent), _by_item_id(), k, basket_limit), min_orders, k)
+    revenue = _bundle_revenue(lines, recent, best, id_range)
+    return best.join(revenue, ["product_a", "product_b"]).orderBy(
+        F.desc("co_purchase_count"), "product_a", "product_b")
+
+
+def bought_together_unordered(items: DataFrame, as_of, days: int = 30, min_orders: int = 3, k: int = 20,
+                              basket_limit: int = 1000) -> DataFrame:
+    """As :func:`bought_together` with each pair once, whatever the order of its
+    items; the mean is that of both names' subtotals per order."""
+    recent = cal.since(F.col("created_at"), as_of, f"{days} DAY")
+    lines = _lines(items, recent)
+    best = _best(pair_counts(_names_per_order(lines, recent), _unordered(), k, basket_limit), min_orders, k)
+    per_order = (lines.join(F.broadcast(_roles(best)), "product_name")
+                 .groupBy("product_a", "product_b", "order_id").agg(
+                     F.sum("subtotal").alias("amount"), F.count_distinct("is_b").alias("names"),
+                     F.max(recent).alias("recent"))
+                 .filter("names = 2 AND recent"))
+    revenue = per_order.groupBy("product_a", "product_b").agg(
+        ratio(F.sum("amount"), F.count("*")).alias("avg_bundle_revenue"))
     return best.join(revenue, ["product_a", "product_b"]).orderBy(
         F.desc("co_purchase_count"), "product_a", "product_b")

@@ -14,6 +14,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a swollen join partition even where an aggregation on the join key
+    # follows and then needs an exchange of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.streaming.stateStore.providerClass":
@@ -36,6 +39,17 @@ def build_session(app: str = "tidemark", master: str | None = None, shuffle_part
     return builder.getOrCreate()
 
 
+# The settings above that a running session of someone else may take on.
+RUNTIME_CONF = {k: v for k, v in BASE_CONF.items() if k.startswith("spark.sql.adaptive.")}
+
+
+def adopt(spark: SparkSession) -> SparkSession:
+    """Give an existing session the adaptive settings the plans rely on."""
+    for key, value in RUNTIME_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 

@@ -117,6 +117,15 @@ def current_rows(spark: SparkSession, base: str, table: str, ties: tuple[str, ..
     return latest(log.drop("yyyymm"), ties=ties)
 
 
+def replay(spark: SparkSession, path: str, table: str, from_ms: int, until_ms: int,
+           ties: tuple[str, ...] = ()) -> DataFrame:
+    """Current rows of a time range of a topic, read again from its beginning."""
+    events = readers.event_files(spark, path, writers.TOPICS[table])
+    schema, _, required = MODEL[table]
+    rows = parsing.typed_rows(readers.start_at_timestamp(events, from_ms), schema)
+    return latest(rows.filter(parsing.complete(required) & (F.col("cdc_ts_ms") < until_ms)), ties=ties)
+
+
 def refresh_product_daily(spark: SparkSession, base: str, changed_items: DataFrame, changed_orders: DataFrame,
                           rollup_path: str, ties: tuple[str, ...] = ()) -> None:
     """Bring the daily product rollup up to date after a batch of changes.
