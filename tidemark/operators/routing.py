@@ -16,15 +16,18 @@ def event_op(value: Column) -> Column:
     return F.get_json_object(value, "$.op")
 
 
-def route(events: DataFrame, table: str, op: str | None = None) -> DataFrame:
-    """Events of one table, optionally of one change code.
+def belongs(table: str, op: str | None = None) -> Column:
+    """The event is of this table, and of this change code if one is given.
 
-    Broken JSON and missing fields read as NULL and therefore drop out.
+    Broken JSON and missing fields read as NULL, which no filter keeps.
     """
     keep = event_table(F.col("value")) == table
-    if op is not None:
-        keep = keep & (event_op(F.col("value")) == op)
-    return events.filter(keep)
+    return keep if op is None else keep & (event_op(F.col("value")) == op)
+
+
+def route(events: DataFrame, table: str, op: str | None = None) -> DataFrame:
+    """Events of one table, optionally of one change code."""
+    return events.filter(belongs(table, op))
 
 
 def fan_out(events: DataFrame, tables: Iterable[str]) -> dict[str, DataFrame]:

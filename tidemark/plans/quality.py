@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.money import total, whole
 from tidemark.operators.ordered import previous_value, running_sums
+from tidemark.operators.staging import staged
 from tidemark.plans.lines import alive
 from tidemark.schemas import ALLOWED_TRANSITIONS
 
@@ -87,7 +88,7 @@ def illegal_transitions(log: DataFrame, width_ms: int = DAY_MS, version: str = "
     One row per (order, version) first; then each row meets the status before it.
     A row that keeps its status is no change.
     """
-    unique = log.groupBy("id", version).agg(F.max_by("status", tie).alias("status"))
+    unique = staged(log.groupBy("id", version).agg(F.max_by("status", tie).alias("status")), "status-versions")
     steps = previous_value(unique, ["id"], version, "status", width_ms, "from_status")
     allowed = F.lit(False)
     for before, after in ALLOWED_TRANSITIONS:
@@ -107,7 +108,7 @@ def refused_cancellations(illegal: DataFrame) -> DataFrame:
 
 def negative_stock(products: DataFrame, moves: DataFrame, width_ms: int = 30 * DAY_MS) -> DataFrame:
     """Moments at which the running stock of a product lies below zero."""
-    per_moment = moves.groupBy("product_id", "moved_at_ms").agg(F.sum("change").alias("change"))
+    per_moment = staged(moves.groupBy("product_id", "moved_at_ms").agg(F.sum("change").alias("change")), "stock-moves")
     running = running_sums(per_moment, ["product_id"], "moved_at_ms", {"change": "moved"}, width_ms)
     opening = products.select(F.col("id").alias("product_id"), F.col("stock").cast("bigint").alias("opening_stock"))
     return (running.join(opening, "product_id")

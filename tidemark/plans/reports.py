@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
 from tidemark.functions.money import ratio, rounded, total, whole
+from tidemark.operators.staging import staged
 from tidemark.operators.versions import active
 from tidemark.plans.lines import alive, orders_with_totals, repeats, sold_lines
 
@@ -49,7 +50,8 @@ def kpi_orders(orders: DataFrame, as_of) -> DataFrame:
 def kpi_with_items(orders: DataFrame, items: DataFrame, as_of, fan_out: bool = False) -> DataFrame:
     """The day's key figures with item figures and the completion rate."""
     today = alive(orders).filter(cal.on_day(F.col("created_at"), as_of))
-    lines = items.join(today.select(F.col("id").alias("order_id")), "order_id", "left_semi")
+    lines = staged(items.join(today.select(F.col("id").alias("order_id")), "order_id", "left_semi")
+                   .select("order_id", "product_id", "quantity", "price", "subtotal", "cdc_op"), "day-lines")
     products = lines.agg(F.count_distinct("product_id").cast("bigint").alias("n"))
     times = repeats("all_lines", fan_out)
     amount = F.sum((F.col("total_amount") * times).cast("decimal(18,2)"))
@@ -117,23 +119,29 @@ def daily_revenue_week(orders: DataFrame, as_of, days: int = 7) -> DataFrame:
 # --- customers -------------------------------------------------------------
 
 def customer_metrics(orders: DataFrame, items: DataFrame, fan_out: bool = False) -> DataFrame:
-    """Per customer: last order, orders, spend, average, products, status counts."""
-    joined = orders_with_totals(alive(orders), items)
+    """Per customer: last order, orders, spend, average, products, status counts.
+
+    Order figures come from the orders alone, item figures from one pass over the
+    joined lines, reduced by (customer, product) before the last step.
+    """
+    placed = alive(orders)
+    weighted = orders_with_totals(placed, items) if fan_out else placed
     times = repeats("all_lines", fan_out)
     spent = F.sum((F.col("total_amount") * times).cast("decimal(18,2)"))
-    base = joined.groupBy("user_id").agg(
+    base = weighted.groupBy("user_id").agg(
         F.max("created_at").alias("last_order_date"),
         F.count("*").cast("bigint").alias("total_orders"),
         spent.cast("decimal(18,2)").alias("total_spent"),
         ratio(spent, F.sum(times)).alias("avg_order_value"),
-        whole(F.sum("all_quantity")).alias("total_items"),
-        ratio(F.sum("all_quantity"), F.count("*")).alias("avg_items_per_order"),
         whole(F.sum(F.when(F.col("status") == "COMPLETED", times))).alias("completed_orders"),
         whole(F.sum(F.when(F.col("status") == "CANCELLED", times))).alias("cancelled_orders"))
-    bought = (items.select("order_id", "product_id")
-              .join(alive(orders).select(F.col("id").alias("order_id"), "user_id"), "order_id")
-              .groupBy("user_id").agg(F.count_distinct("product_id").cast("bigint").alias("unique_products")))
-    return base.join(bought, "user_id", "left").fillna({"unique_products": 0})
+    bought = (items.select("order_id", "product_id", "quantity")
+              .join(placed.select(F.col("id").alias("order_id"), "user_id"), "order_id")
+              .groupBy("user_id", "product_id").agg(F.sum("quantity").alias("quantity"))
+              .groupBy("user_id").agg(F.sum("quantity").cast("bigint").alias("total_items"),
+                                      F.count("product_id").cast("bigint").alias("unique_products")))
+    return (base.join(bought, "user_id", "left").fillna({"unique_products": 0, "total_items": 0})
+            .withColumn("avg_items_per_order", ratio(F.col("total_items"), F.col("total_orders"))))
 
 
 def rfm_segments(metrics: DataFrame, as_of) -> DataFrame:
@@ -182,8 +190,10 @@ def repeat_purchase(items: DataFrame, orders: DataFrame, min_customers: int = 5,
     ``repeat_customers`` counts item lines of repeat buyers; ``count_people=True``
     counts the buyers themselves.
     """
-    lines = sold_lines(items, orders, keep_cancelled=True)
-    named = lines.groupBy("product_id", "user_id", "product_name").agg(F.count("*").alias("n_lines"))
+    lines = staged(sold_lines(items, orders, keep_cancelled=True)
+                   .groupBy("product_id", "user_id", "product_name", "order_id").agg(F.count("*").alias("n_lines")),
+                   "bought-lines")
+    named = lines.groupBy("product_id", "user_id", "product_name").agg(F.sum("n_lines").alias("n_lines"))
     bought = lines.groupBy("product_id", "user_id").agg(
         F.count_distinct("order_id").cast("bigint").alias("purchases"))
     both = named.join(bought, ["product_id", "user_id"], "left")

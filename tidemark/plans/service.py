@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import total
+from tidemark.operators.staging import staged
 from tidemark.operators.versions import with_deleted
 
 ITEM_COLUMNS = ("id", "product_id", "product_name", "quantity", "price", "subtotal")
@@ -57,8 +58,9 @@ def nested_items(orders: DataFrame, items: DataFrame, chunk: int = 10_000) -> Da
     is spread over several rows of about ``chunk`` items each, so that no row grows
     with the data.
     """
-    sizes = items.groupBy("order_id").agg(F.count("*").alias("_n"))
-    kept = items.select("order_id", *ITEM_COLUMNS).join(sizes, "order_id")
+    rows = staged(items.select("order_id", *ITEM_COLUMNS), "nested-items")
+    sizes = rows.groupBy("order_id").agg(F.count("*").alias("_n"))
+    kept = rows.join(sizes, "order_id")
     parts = F.ceil(F.col("_n") / F.lit(chunk))
     packed = (kept.withColumn("part", F.pmod(F.xxhash64("id"), parts))
               .groupBy("order_id", "part")

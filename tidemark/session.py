@@ -40,11 +40,12 @@ def build_session(app: str = "tidemark", master: str | None = None, shuffle_part
 
 
 # The settings above that a running session of someone else may take on.
-RUNTIME_CONF = {k: v for k, v in BASE_CONF.items() if k.startswith("spark.sql.adaptive.")}
+RUNTIME_CONF = {k: v for k, v in BASE_CONF.items()
+                if k.startswith("spark.sql.adaptive.") or k == "spark.sql.session.timeZone"}
 
 
 def adopt(spark: SparkSession) -> SparkSession:
-    """Give an existing session the adaptive settings the plans rely on."""
+    """Give an existing session the settings the plans rely on."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
