@@ -92,6 +92,12 @@ SELECT 'orders' AS table_name, count(*) AS record_count FROM o_log
 UNION ALL SELECT 'order_items', count(*) FROM i_log""")
 add("p07_order_rows", "SELECT * FROM o_log")
 add("p08_item_rows", "SELECT * FROM i_log")
+add("f01_coercions", """
+SELECT event_id AS id, CAST(NULL AS BIGINT) AS order_id, CAST(trunc(value) AS BIGINT) AS product_id,
+       event_type AS product_name, CAST(trunc(value) AS INTEGER) AS quantity, CAST(value AS DECIMAL(10,2)) AS price,
+       CAST(value AS DECIMAL(10,2)) AS subtotal, make_timestamp(epoch_us(ts) // 1000 * 1000) AS created_at,
+       date_trunc('second', ts) AS updated_at, CAST(NULL AS TIMESTAMP) AS deleted_at, 'c' AS cdc_op,
+       epoch_us(ts) // 1000 AS cdc_ts_ms FROM events""")
 add("p10_op_labels", """
 SELECT CASE cdc_op WHEN 'u' THEN 'UPDATE' WHEN 'd' THEN 'DELETE' ELSE 'INSERT' END AS operation_type,
        count(*) AS events FROM o_log GROUP BY 1""")
@@ -137,6 +143,7 @@ WHERE deleted_at IS NOT NULL ORDER BY deleted_at DESC, id LIMIT 100""")
 add("p15_active_order_list", """
 SELECT id, user_id, status, total_amount FROM o WHERE deleted_at IS NULL AND cdc_op <> 'd'""")
 add("p16_orders_by_status", "SELECT id, user_id, status FROM o WHERE deleted_at IS NULL AND status = 'PENDING'")
+add("p16_orders_of_user", "SELECT id, user_id, status FROM o WHERE deleted_at IS NULL AND user_id = 42")
 add("p17_products_by_category", "SELECT * FROM prod WHERE category = 'ECONOMY'")
 add("p18_user_by_name", "SELECT * FROM usr WHERE username = 'Customer#000000042'")
 add("p18_user_by_email", "SELECT * FROM usr WHERE email = 'customer.000000042@shop.example'")

@@ -107,6 +107,26 @@ def p08_item_rows(spark, root):
     return good
 
 
+@query
+def f01_coercions(spark, root):
+    """Numbers and texts in all forms a field may take, one event per row."""
+    at, value = F.col("ts").cast("timestamp"), F.col("value")
+    millis = F.unix_millis(at)
+    odd = F.col("event_id") % 2 == 1
+    image = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("id"), value.cast("string").alias("order_id"),
+        value.alias("product_id"), F.col("event_type").alias("product_name"), value.alias("quantity"),
+        value.cast("string").alias("price"), value.alias("subtotal"),
+        millis.alias("created_at"), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"),
+        F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("deleted_at")))
+    # Every other event writes its id as a number and its time as digits in quotes.
+    image = F.when(odd, F.regexp_replace(F.regexp_replace(
+        image, '"id":"([0-9]+)"', '"id":$1'), '"created_at":([0-9]+)', '"created_at":"$1"')).otherwise(image)
+    events = st.table(spark, root, "events").select(F.concat(
+        F.lit('{"op":"c","after":'), image, F.lit(',"ts_ms":'), millis.cast("string"), F.lit("}")).alias("value"))
+    return parsing.item_rows(events)
+
+
 @query
 def p10_op_labels(spark, root):
     return (st.orders_log(spark, root).groupBy(op_label(F.col("cdc_op")).alias("operation_type"))
@@ -204,6 +224,11 @@ def p16_orders_by_status(spark, root):
     return service.order_list(st.orders(spark, root), status="PENDING").select("id", "user_id", "status")
 
 
+@query
+def p16_orders_of_user(spark, root):
+    return service.order_list(st.orders(spark, root), user_id=42).select("id", "user_id", "status")
+
+
 @query
 def p17_products_by_category(spark, root):
     return service.product_list(st.products(spark, root), "ECONOMY")

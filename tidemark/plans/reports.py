@@ -70,7 +70,7 @@ def orders_by_hour(orders: DataFrame, items: DataFrame, as_of) -> DataFrame:
     today = alive(orders).filter(cal.on_day(F.col("created_at"), as_of))
     counts = (alive(items).filter(cal.on_day(F.col("created_at"), as_of))
               .groupBy(F.col("order_id").alias("id")).agg(F.count("*").alias("item_count")))
-    return (today.join(counts, "id", "left").groupBy(F.hour("created_at").alias("hour")).agg(
+    return (today.join(counts, "id", "left").groupBy(F.hour("created_at").cast("bigint").alias("hour")).agg(
         F.count("*").cast("bigint").alias("order_count"),
         total("total_amount").alias("revenue"),
         ratio(F.sum(F.coalesce("item_count", F.lit(0))), F.count("*")).alias("avg_items_per_order"))

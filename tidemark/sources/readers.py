@@ -61,9 +61,12 @@ def kafka_options(servers: str, topic: str, start: str = "latest", max_per_trigg
 
 
 def change_stream(spark: SparkSession, topic: str, path: str | None = None, servers: str | None = None,
-                  start: str = "latest", max_files_per_trigger: int | None = None, **kafka: object) -> DataFrame:
+                  start: str = "latest", max_files_per_trigger: int = 1000, **kafka: object) -> DataFrame:
     """A stream of event texts: a topic, or text files below ``path/topic``.
 
+    A micro-batch takes a bounded number of offsets or files, which bounds what a
+    stateful step shuffles, a backlog and a flood of copies included.
+
     Adds ``ingest_ts``: broker time for a topic, arrival time for files. A file
     stream always starts at the earliest file; ``start='latest'`` is a matter of
     :func:`start_at_timestamp` there.
@@ -71,9 +74,8 @@ def change_stream(spark: SparkSession, topic: str, path: str | None = None, serv
     if servers is not None:
         raw = spark.readStream.format("kafka").options(**kafka_options(servers, topic, start, **kafka)).load()
         return raw.select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("ingest_ts"))
-    reader = spark.readStream.format("text").schema(EVENT_TEXT)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = (spark.readStream.format("text").schema(EVENT_TEXT)
+              .option("maxFilesPerTrigger", max_files_per_trigger))
     return reader.load(f"{path}/{topic}").withColumn("ingest_ts", F.current_timestamp())
 
 
@@ -82,7 +84,8 @@ def table_stream(spark: SparkSession, root: str, name: str) -> DataFrame:
     path = f"{root}/{name}.parquet"
     schema = spark.read.parquet(path).schema
     # A glob, because a stream takes a folder or a pattern but not one file.
-    return spark.readStream.schema(schema).parquet(f"{root}/{name}.parque[t]")
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
+            .parquet(f"{root}/{name}.parque[t]"))
 
 
 def event_files(spark: SparkSession, path: str, topic: str) -> DataFrame:
