@@ -54,6 +54,10 @@ ORDER_ITEMS = T.StructType(ITEM_FIELDS + _TAIL)
 ORDERS_LOG = T.StructType(ORDER_FIELDS + _TAIL + _CHANGE)
 ORDER_ITEMS_LOG = T.StructType(ITEM_FIELDS + _TAIL + _CHANGE)
 
+# The log also keeps the position of a change in its source: of two changes of one
+# row in the same millisecond, the later one wins.
+TIE = T.StructField("source_pos", T.LongType())
+
 USERS = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("username", T.StringType()),

@@ -14,13 +14,13 @@ from tidemark.functions import calendar as cal
 from tidemark.operators import parsing, routing
 from tidemark.operators.versions import latest
 from tidemark.plans import rollups
-from tidemark.schemas import ITEM_REQUIRED, ORDER_ITEMS, ORDER_ITEMS_LOG, ORDER_REQUIRED, ORDERS, ORDERS_LOG
+from tidemark.schemas import ITEM_REQUIRED, ORDER_ITEMS, ORDER_ITEMS_LOG, ORDER_REQUIRED, ORDERS, ORDERS_LOG, TIE
 from tidemark.sources import readers, writers
 from tidemark.streaming import dedup
 
 MODEL = {
-    "orders": (ORDERS, ORDERS_LOG, ORDER_REQUIRED),
-    "order_items": (ORDER_ITEMS, ORDER_ITEMS_LOG, ITEM_REQUIRED),
+    "orders": (ORDERS, T.StructType(list(ORDERS_LOG) + [TIE]), ORDER_REQUIRED),
+    "order_items": (ORDER_ITEMS, T.StructType(list(ORDER_ITEMS_LOG) + [TIE]), ITEM_REQUIRED),
 }
 
 
@@ -38,7 +38,7 @@ def capture(events: DataFrame, checkpoint: str, path: str | None = None, servers
     return writers.publish(rows, checkpoint, path, servers, **options).trigger(**trigger(every)).start()
 
 
-def sync(events: DataFrame, table: str, base: str, every: str | None = "5 seconds", mode: str = "versions",
+def sync(events: DataFrame, table: str, base: str, every: str | None = writers.STANDARD.trigger, mode: str = "versions",
          ttl_ms: int = dedup.FIRST_SEEN_TTL_MS, after: Callable[[DataFrame, int], None] | None = None,
          state_partitions: int | None = None) -> StreamingQuery:
     """Parse a topic and append its rows to the change log below ``base``.
@@ -49,11 +49,11 @@ def sync(events: DataFrame, table: str, base: str, every: str | None = "5 second
     """
     schema, log_schema, required = MODEL[table]
     if mode == "first_seen":
-        rows = dedup.first_seen(parsing.typed_rows(events, schema), log_schema, ttl_ms)
+        rows = dedup.first_seen(parsing.typed_rows(events, schema, keep=[TIE.name]), log_schema, ttl_ms)
     elif mode == "versions":
-        rows = dedup.drop_repeats(parsing.typed_rows(events, schema, keep=["ingest_ts"])).drop("ingest_ts")
+        rows = dedup.drop_repeats(parsing.typed_rows(events, schema, keep=[TIE.name, "ingest_ts"])).drop("ingest_ts")
     elif mode == "all":
-        rows = parsing.typed_rows(events, schema)
+        rows = parsing.typed_rows(events, schema, keep=[TIE.name])
     else:
         raise ValueError(f"unknown mode: {mode}")
     sink = writers.log_sink(f"{base}/{table}", required, after)
@@ -111,23 +111,23 @@ def run_with_restarts(start: Callable[[], StreamingQuery], attempts: int = 3, pa
     raise AssertionError("unreachable")
 
 
-def current_rows(spark: SparkSession, base: str, table: str, ties: tuple[str, ...] = ()) -> DataFrame:
+def current_rows(spark: SparkSession, base: str, table: str) -> DataFrame:
     """The newest version per id from the change log."""
     log = writers.read_log(spark, f"{base}/{table}", MODEL[table][1])
-    return latest(log.drop("yyyymm"), ties=ties)
+    return latest(log, ties=[TIE.name]).drop("yyyymm", TIE.name)
 
 
-def replay(spark: SparkSession, path: str, table: str, from_ms: int, until_ms: int,
-           ties: tuple[str, ...] = ()) -> DataFrame:
+def replay(spark: SparkSession, path: str, table: str, from_ms: int, until_ms: int) -> DataFrame:
     """Current rows of a time range of a topic, read again from its beginning."""
     events = readers.event_files(spark, path, writers.TOPICS[table])
     schema, _, required = MODEL[table]
-    rows = parsing.typed_rows(readers.start_at_timestamp(events, from_ms), schema)
-    return latest(rows.filter(parsing.complete(required) & (F.col("cdc_ts_ms") < until_ms)), ties=ties)
+    rows = parsing.typed_rows(readers.start_at_timestamp(events, from_ms), schema, keep=[TIE.name])
+    wanted = rows.filter(parsing.complete(required) & (F.col("cdc_ts_ms") < until_ms))
+    return latest(wanted, ties=[TIE.name]).drop(TIE.name)
 
 
 def refresh_product_daily(spark: SparkSession, base: str, changed_items: DataFrame, changed_orders: DataFrame,
-                          rollup_path: str, ties: tuple[str, ...] = ()) -> None:
+                          rollup_path: str) -> None:
     """Bring the daily product rollup up to date after a batch of changes.
 
     A change touches the month an item lies in, the months its earlier versions lay
@@ -141,7 +141,7 @@ def refresh_product_daily(spark: SparkSession, base: str, changed_items: DataFra
                .unionAll(items_log.join(order_ids, "order_id", "left_semi").select("yyyymm"))
                .distinct())
     months = [r[0] for r in touched.collect()]  # one row per calendar month
-    items = current_rows(spark, base, "order_items", ties)
+    items = current_rows(spark, base, "order_items")
     orders = current_rows(spark, base, "orders")
     month = cal.yyyymm(F.col("created_at"))
     daily = rollups.product_daily(items.filter(month.isin(months)), orders)
