@@ -189,7 +189,7 @@ GROUP BY sale_date, product_id""", LINES)
 
 
 def segments(weighted: bool) -> str:
-    rows = ("SELECT o.*, 1.0 AS w, t.q FROM o LEFT JOIN (SELECT order_id, sum(quantity) AS q FROM i WHERE cdc_op <> 'd' "
+    rows = ("SELECT o.*, t.q FROM o LEFT JOIN (SELECT order_id, sum(quantity) AS q FROM i WHERE cdc_op <> 'd' "
             "GROUP BY order_id) t ON t.order_id = o.id WHERE o.cdc_op <> 'd'")
     if weighted:
         rows = ("SELECT o.*, i.quantity AS q FROM o LEFT JOIN i ON i.order_id = o.id AND i.cdc_op <> 'd' "
@@ -209,6 +209,7 @@ seg_view AS (
          {r4('total_items', 'total_orders')} AS avg_items_per_order, completed_orders, cancelled_orders
   FROM seg)"""
 add("q03_customer_segments", "SELECT * FROM seg", segments(False))
+add("d08_touched_customers_refresh", "SELECT * FROM seg", segments(False))
 add("q03_customer_segments_literal", "SELECT * FROM seg", segments(True))
 add("q04_customer_segments_view", "SELECT * FROM seg_view", segments(False), SEG_VIEW)
 add("q04_customer_segments_view_literal", "SELECT * FROM seg_view", segments(True), SEG_VIEW)
@@ -233,7 +234,8 @@ cart AS (
          count(*) FILTER (WHERE status = 'COMPLETED') AS completed_orders
   FROM o WHERE cdc_op <> 'd' GROUP BY 1),
 cart_view AS (SELECT *, {r4('completed_orders', 'total_orders', 100)} AS completion_rate FROM cart WHERE total_orders > 0)"""
-add("q06_cart_analytics_view", "SELECT * FROM cart_view", CART)
+for name in ("q06_cart_analytics_view", "d08_touched_days_refresh"):
+    add(name, "SELECT * FROM cart_view", CART)
 for name in ("v05_distinct_orders_rows", "v05_distinct_orders_bitmaps"):
     add(name, "SELECT user_id, count(DISTINCT id) AS total_orders FROM o GROUP BY user_id")
 add("v05_distinct_buyers_sketch",

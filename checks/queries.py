@@ -418,6 +418,30 @@ def d08_touched_keys_refresh(spark, root):
     return rollups.apply_refresh(old, after, orders, changed_orders, stale)
 
 
+@query
+def d08_touched_customers_refresh(spark, root):
+    """Segments kept up by recomputing only the customers a batch touched."""
+    cut = F.lit("2001-06-01").cast("timestamp")
+    orders_log, items_log = st.orders_log(spark, root), st.items_log(spark, root)
+    new_order = F.col("created_at") >= cut
+    old = rollups.customer_segments(versions.latest(orders_log.filter(~new_order)),
+                                    versions.latest(items_log.filter(~new_order), ties=("product_id",)))
+    changed = (orders_log.filter(new_order).select("id")
+               .unionAll(items_log.filter(new_order).select(F.col("order_id").alias("id"))))
+    orders = versions.latest(orders_log)
+    return rollups.refresh_customers(old, orders, st.items(spark, root), rollups.touched_customers(orders_log, changed))
+
+
+@query
+def d08_touched_days_refresh(spark, root):
+    """Daily order counts kept up by recomputing only the days a batch touched."""
+    log = st.orders_log(spark, root)
+    late = (F.col("created_at") >= F.lit("2001-06-01").cast("timestamp")) | (F.col("status") == "CANCELLED")
+    old = rollups.cart_analytics(versions.latest(log.filter(~late)))
+    days = log.filter(late).select(F.to_date("created_at").alias("order_date"))
+    return rollups.cart_analytics_view(rollups.refresh_cart_days(old, versions.latest(log), days))
+
+
 # --- reports ------------------------------------------------------------------
 
 @query

@@ -215,3 +215,25 @@ def apply_refresh(rollup: DataFrame, items: DataFrame, orders: DataFrame, change
     keys = touched_keys(items, changed_orders, stale_keys)
     kept = rollup.join(keys, list(PRODUCT_DAY), "left_anti")
     return kept.unionByName(refreshed(items, orders, keys))
+
+
+def touched_customers(orders: DataFrame, changed_order_ids: DataFrame) -> DataFrame:
+    """Customers of the orders a batch touched. Give ``orders`` as all versions where
+    an order may have moved to another customer."""
+    ids = changed_order_ids.select("id").distinct()
+    return orders.join(ids, "id", "left_semi").select("user_id").distinct()
+
+
+def refresh_customers(segments: DataFrame, orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
+    """Customer segments with the given customers recomputed from current rows."""
+    mine = orders.join(customers, "user_id", "left_semi")
+    lines = items.join(mine.select(F.col("id").alias("order_id")), "order_id", "left_semi")
+    return segments.join(customers, "user_id", "left_anti").unionByName(customer_segments(mine, lines))
+
+
+def refresh_cart_days(carts: DataFrame, orders: DataFrame, days: DataFrame) -> DataFrame:
+    """Daily order counts with the given ``order_date`` days recomputed."""
+    on_days = (orders.withColumn("order_date", F.to_date("created_at"))
+               .join(days.select("order_date").distinct(), "order_date", "left_semi").drop("order_date"))
+    return (carts.join(days.select("order_date").distinct(), "order_date", "left_anti")
+            .unionByName(cart_analytics(on_days)))
