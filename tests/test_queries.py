@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 from checks.run import compare, connect
 
 ROOT = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,8 @@ def test_entry(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
