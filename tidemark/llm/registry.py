@@ -2,10 +2,14 @@
 
 from tidemark.llm.bpe import op5_byte_bpe
 from tidemark.llm.exact_dedup import OP2_SQL, op2_exact_dedup
+from tidemark.llm.language import op1_language_id
 from tidemark.llm.packing import op4_best_fit_packing
+from tidemark.llm.quality import op3_quality
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_quality": op3_quality,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_byte_bpe": op5_byte_bpe,
 }
