@@ -5,6 +5,7 @@ from tidemark.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from tidemark.llm.language import op1_language_id
 from tidemark.llm.packing import op4_best_fit_packing
 from tidemark.llm.quality import op3_quality
+from tidemark.llm.substrings import op8_suffix_array_dedup
 
 QUERIES = {
     "op1_language_id": op1_language_id,
@@ -12,5 +13,6 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_byte_bpe": op5_byte_bpe,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
 }
 ORACLE = {"op2_exact_dedup": OP2_SQL}
