@@ -16,6 +16,7 @@ from tidemark.session import fresh_path
 
 # Keys with at least this share of all rows are joined by broadcast: they are at most 1 / share.
 HOT_SHARE = 1e-3
+CUT = 1 << 20
 
 
 def documents(spark: SparkSession, root: str) -> DataFrame:
@@ -60,6 +61,18 @@ def blocks(texts: Iterable[bytes], size: int) -> Iterator[list[tuple[int, bytes]
         yield held
 
 
+def cuts(raw: bytes):
+    """Blocks of a text, cut at white space where there is any."""
+    at = 0
+    while at < len(raw):
+        end = at + CUT
+        if end < len(raw):
+            space = max(raw.rfind(b" ", at + 1, end), raw.rfind(b"\n", at + 1, end))
+            end = space if space > at else end
+        yield raw[at:end]
+        at = end
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit keys (finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

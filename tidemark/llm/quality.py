@@ -9,11 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, held_out, learned_from, text_or_empty
+from tidemark.llm.common import cuts, documents, held_out, learned_from, text_or_empty
 
 FEATURES = ("log_bytes", "letters", "upper", "digits", "spaces", "lines", "marks", "stops", "non_ascii", "word_length",
             "long_words", "distinct_words", "top_word", "repeated_next", "distinct_lines", "marks_in_words", "entropy", "caps_words")
-BLOCK = 1 << 20
 
 
 def _classes() -> np.ndarray:
@@ -29,18 +28,6 @@ def _classes() -> np.ndarray:
 CLASSES = _classes()
 
 
-def cuts(raw: bytes):
-    """Blocks of a text, cut at white space where there is any."""
-    at = 0
-    while at < len(raw):
-        end = at + BLOCK
-        if end < len(raw):
-            space = max(raw.rfind(b" ", at + 1, end), raw.rfind(b"\n", at + 1, end))
-            end = space if space > at else end
-        yield raw[at:end]
-        at = end
-
-
 def statistics(text: str) -> np.ndarray:
     """Features of one whole text, taken block by block; an empty text has zeros."""
     out = np.zeros(len(FEATURES))
