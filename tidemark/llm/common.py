@@ -6,7 +6,7 @@ neither disturb it nor reach its result. Rows that repeat a ``doc_id`` are one d
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +17,7 @@ from tidemark.session import fresh_path
 # Keys with at least this share of all rows are joined by broadcast: they are at most 1 / share.
 HOT_SHARE = 1e-3
 CUT = 1 << 20
+ONE_TASK = 200_000
 
 
 def documents(spark: SparkSession, root: str) -> DataFrame:
@@ -97,6 +98,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star rounds: each links the neighbours of a vertex to
     their minimum, until every component is a star. Rounds grow with the logarithm of its
     size. Each round is written to the shared folder; nothing but two sums reaches the driver.
+    Up to ONE_TASK edges are read as one partition, so that their rounds need no exchange.
     """
     edges = staged(spark, edges.filter(F.col("a") != F.col("b"))
                    .select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges")
@@ -107,11 +109,52 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             return edges.select(F.col("v").alias("id"), F.col("u").alias("component_id")).unionByName(
                 edges.select(F.col("u").alias("id"), F.col("u").alias("component_id"))).distinct()
         state = n, code
+        few = n <= ONE_TASK
+        edges = edges.coalesce(1) if few else edges
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
+        both = both.coalesce(1) if few else both
         low = both.groupBy("v").agg(F.count("*").alias("n"), F.least(F.min("u"), F.first("v")).alias("m"))
-        large = staged(spark, join_counted(both.filter("u > v"), low, "v", 2 * n)
-                       .select(F.col("u").alias("v"), F.col("m").alias("u")).filter("u < v").distinct(), "large")
+        joined = both.filter("u > v").join(low, "v") if few else join_counted(both.filter("u > v"), low, "v", 2 * n)
+        large = joined.select(F.col("u").alias("v"), F.col("m").alias("u")).filter("u < v").distinct()
+        large = large if few else staged(spark, large, "large")
         low = large.groupBy("v").agg(F.count("*").alias("n"), F.min("u").alias("m"))
-        joined = join_counted(large, low, "v", n)
+        joined = large.join(low, "v") if few else join_counted(large, low, "v", n)
         small = joined.select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), F.col("m")))).alias("e"))
         edges = staged(spark, small.select(F.col("e.u").alias("v"), F.col("e.m").alias("u")).filter("u < v").distinct(), "small")
+
+
+def component_rounds(spark: SparkSession, shared: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int = 2) -> DataFrame:
+    """(id, component_id) of the graph of similar nodes that share a key; ``shared`` holds (key, node), ``verify`` keeps similar pairs (a, b).
+
+    In each round one member of every group, drawn by hash and so the same in most groups of a
+    cluster, is compared with the members that are not yet in its component. Groups that hang
+    together are done. What is still apart after the rounds is compared in full across
+    components: no link between components is lost, yet the members of one component are
+    not all paired with each other.
+    """
+    state = None
+    for number in range(rounds + 1):
+        named = shared.withColumn("part", F.col("node"))
+        if state is not None:
+            named = shared.join(state.withColumnRenamed("id", "node"), "node", "left").select(
+                "key", "node", F.coalesce("component_id", "node").alias("part"))
+        order = F.struct(F.xxhash64("node", F.lit(number)), "node", "part")
+        groups = named.groupBy("key").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high"),
+                                          F.min(order).alias("hub")).filter("low < high").select("key", "n", "hub.node", "hub.part")
+        groups = staged(spark, groups.toDF("key", "n", "hub", "hub_part"), "groups")
+        total = groups.agg(F.sum("n")).first()[0]
+        if not total:
+            break
+        apart = join_counted(named, groups, "key", total)
+        if number < rounds:
+            pairs = apart.filter("part != hub_part").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+        else:
+            apart = staged(spark, apart.select("key", "node", "part"), "apart")
+            x, y = apart.toDF("key", "a", "part_a"), apart.toDF("key", "b", "part_b")
+            pairs = x.join(y, "key").filter("a < b and part_a != part_b").select("a", "b")
+        links = verify(pairs.distinct())
+        if state is not None:
+            links = links.unionByName(state.filter("id != component_id").toDF("a", "b"))
+        shared = staged(spark, apart.select("key", "node"), "shared") if number < rounds else shared
+        state = components(spark, links)
+    return state if state is not None else shared.select(F.col("node").alias("id"), F.col("node").alias("component_id")).limit(0)

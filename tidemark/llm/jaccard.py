@@ -15,10 +15,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, cuts, documents, join_counted, mix64, staged
+from tidemark.llm.common import component_rounds, cuts, documents, join_counted, mix64, staged
 
 SKETCH_BITS = 512
-SMALL_GROUP = 12  # groups of so many sets or fewer are paired at once
 
 
 class _WordHashes(dict):
@@ -106,63 +105,59 @@ def sketched(docs: DataFrame, width: int, percent: int) -> DataFrame:
         run, "doc_id long, size long, fp long, sketch binary, keys array<long>")
 
 
-def groups_to_pairs(batches):
-    """Rows of a partition, sorted by (key, fp): pairs (a, b) of small groups; of large ones the members (key, a), b null."""
-    key, fp, open_large = np.zeros(0, np.int64), np.zeros(0, np.int64), None
-
-    def solve(key, fp):
-        nonlocal open_large
+def shared_only(batches):
+    """Of a partition sorted by (key, fp), the rows of keys that several different sets have, each once."""
+    held, sent = None, False  # the last row, and whether it was sent
+    for batch in batches:
+        key, fp = batch.column("key").to_numpy(), batch.column("fp").to_numpy()
+        if held is not None:
+            key, fp = np.append(held[0], key), np.append(held[1], fp)
         fresh = np.append(True, (key[1:] != key[:-1]) | (fp[1:] != fp[:-1]))
         key, fp = key[fresh], fp[fresh]
-        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        size = np.diff(np.append(starts, len(key)))
-        own = np.repeat(size, size)
-        small = own <= SMALL_GROUP
-        if open_large is not None:
-            small &= key != open_large
-        out = [(key[~small], fp[~small], np.zeros((~small).sum(), np.int64), np.ones((~small).sum(), bool))]
-        place = np.arange(len(key)) - np.repeat(starts, size)
-        for step in range(1, SMALL_GROUP):
-            at = np.flatnonzero(small & (place + step < own))
-            if len(at):
-                out.append((key[at], fp[at], fp[at + step], np.zeros(len(at), bool)))
-        if len(key) and not small[-1]:
-            open_large = key[-1]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["key", "a", "b", "large"])
+        if not len(key):
+            continue
+        same = key[1:] == key[:-1]
+        several = np.append(same, False) | np.append(False, same)
+        if held is not None and sent:
+            several[-1] |= len(key) == 1
+        out = several.copy()
+        if held is not None and sent:
+            out[0] = False
+        held, sent = (key[-1], fp[-1]), bool(several[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(fp[out])], names=["key", "node"])
+
+
+def bounded(batches, percent: int):
+    """Pairs whose sizes and sketches allow the similarity."""
+    for batch in batches:
+        sa, sb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8) for c in ("sketch_a", "sketch_b"))
+        na, nb = (batch.column(c).to_numpy() for c in ("size_a", "size_b"))
+        least = np.bitwise_count(sa ^ sb).sum(1, dtype=np.int64)
+        ok = (least * (100 + percent) <= (na + nb) * (100 - percent)) & (np.minimum(na, nb) * 100 >= np.maximum(na, nb) * percent)
+        yield batch.select(["a", "b"]).filter(pa.array(ok))
 
+
+def exact(batches, percent: int):
+    """Pairs whose members reach the similarity."""
     for batch in batches:
-        key = np.concatenate([key, batch.column("key").to_numpy()])
-        fp = np.concatenate([fp, batch.column("fp").to_numpy()])
-        if len(key) > SMALL_GROUP:
-            # A last group that may go on is held back, unless it is known to be large.
-            start = int(np.searchsorted(key, key[-1]))
-            if len(np.unique(fp[start:])) > SMALL_GROUP or open_large == key[-1]:
-                start = len(key)
-            if start:
-                yield solve(key[:start], fp[:start])
-            key, fp = key[start:], fp[start:]
-    if len(key):
-        yield solve(key, fp)
-
-
-def verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of set fingerprints whose Jaccard similarity reaches percent / 100."""
-    light = sets.select("fp", "size", "sketch")
-    pairs = (pairs.select("a", "b").distinct()
-             .join(light.toDF("a", "size_a", "sketch_a"), "a").join(light.toDF("b", "size_b", "sketch_b"), "b"))
-
-    def bounded(batches):
-        for batch in batches:
-            sa, sb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8) for c in ("sketch_a", "sketch_b"))
-            na, nb = (batch.column(c).to_numpy() for c in ("size_a", "size_b"))
-            least = np.bitwise_count(sa ^ sb).sum(1, dtype=np.int64)
-            ok = (least * (100 + percent) <= (na + nb) * (100 - percent)) & (np.minimum(na, nb) * 100 >= np.maximum(na, nb) * percent)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(ok)), batch.column("b").filter(pa.array(ok))], names=["a", "b"])
+        ok = []
+        for x, y in zip(batch.column("ma").to_pylist(), batch.column("mb").to_pylist(), strict=True):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            ok.append(100 * both >= percent * (len(x) + len(y) - both))
+        yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    pairs = staged(spark, pairs.mapInArrow(bounded, "a long, b long"), "bounded")
-    asked = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
-    wanted = staged(spark, asked.join(sets.select("fp", "rep"), "fp").select("fp", F.col("rep").alias("doc_id")), "asked")
-    few = wanted.count() <= 1_000_000  # 16 bytes a row; more are joined by shuffle
+
+def similar_sets(spark: SparkSession, marked: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(id, component_id) over set fingerprints."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = marked.select(F.explode("keys").alias("key"), "fp")
+    shared = staged(spark, keyed.repartition(parts, "key").sortWithinPartitions("key", "fp").mapInArrow(
+        shared_only, "key long, node long"), "shared")
+    asked = staged(spark, shared.select(F.col("node").alias("fp")).distinct().join(sets, "fp"), "asked")
+    wanted = asked.select("fp", F.col("rep").alias("doc_id"))
+    if asked.count() <= 1_000_000:  # 16 bytes a row; more are joined by shuffle
+        wanted = F.broadcast(wanted)
 
     def members(batches):
         memo = _WordHashes()
@@ -170,57 +165,17 @@ def verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, docs: DataF
             found = [shingles(t, width, memo).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(found, pa.binary())], names=["fp", "members"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(wanted) if few else wanted, "doc_id")
-    held = staged(spark, texts.select("fp", "text").mapInArrow(members, "fp long, members binary"), "members").dropDuplicates(["fp"])
-    held = staged(spark, held, "distinct-members")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").dropDuplicates(["fp"])
+    held = staged(spark, texts.select("fp", "text").mapInArrow(members, "fp long, members binary"), "members")
+    light = asked.select("fp", "size", "sketch")
 
-    def exact(batches):
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("ma").to_pylist(), batch.column("mb").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(ok, pa.bool_())), batch.column("b").filter(pa.array(ok, pa.bool_()))], names=["a", "b"])
-
-    full = pairs.join(held.toDF("a", "ma"), "a").join(held.toDF("b", "mb"), "b")
-    return staged(spark, full.select("a", "b", "ma", "mb").mapInArrow(exact, "a long, b long"), "links")
-
-
-def similar_sets(spark: SparkSession, marked: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(id, component_id) over set fingerprints.
+    def verify(pairs):
+        pairs = pairs.join(light.toDF("a", "size_a", "sketch_a"), "a").join(light.toDF("b", "size_b", "sketch_b"), "b")
+        pairs = staged(spark, pairs.mapInArrow(lambda rows: bounded(rows, percent), "a long, b long"), "bounded")
+        full = pairs.join(held.toDF("a", "ma"), "a").join(held.toDF("b", "mb"), "b").select("a", "b", "ma", "mb")
+        return full.mapInArrow(lambda rows: exact(rows, percent), "a long, b long")
 
-    Small groups of a sketch chunk are paired at once. In a large group a few members, drawn
-    anew each round, are compared with all others that are not yet in their component; what is
-    still apart after the rounds is paired in full, so no link between components is lost,
-    and sets that are known to hang together are not all compared with each other.
-    """
-    keyed = marked.select(F.explode("keys").alias("key"), "fp")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = staged(spark, keyed.repartition(parts, "key").sortWithinPartitions("key", "fp").mapInArrow(
-        groups_to_pairs, "key long, a long, b long, large boolean"), "found")
-    links = verified(spark, found.filter("not large"), sets, docs, width, percent)
-    large = found.filter("large").select("key", F.col("a").alias("fp"))
-    state = components(spark, links)
-    rounds = 3
-    for number in range(rounds + 1):
-        named = large.join(state.withColumnRenamed("id", "fp"), "fp", "left").select(
-            "key", "fp", F.coalesce("component_id", "fp").alias("part"))
-        split = named.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"),
-                                         F.expr(f"min_by(struct(fp, part), xxhash64(fp, {number}))").alias("hub"))
-        split = split.filter("low < high")
-        named = staged(spark, named.join(split.select("key", "hub"), "key"), "apart")
-        if named.isEmpty():
-            break
-        large = named.select("key", "fp")
-        if number < rounds:
-            pairs = named.filter("part != hub.part").select(F.least("fp", "hub.fp").alias("a"), F.greatest("fp", "hub.fp").alias("b"))
-        else:
-            x, y = named.select("key", F.col("fp").alias("a"), F.col("part").alias("pa")), named.select("key", F.col("fp").alias("b"), F.col("part").alias("pb"))
-            pairs = x.join(y, "key").filter("a < b and pa != pb")
-        links = staged(spark, links.unionByName(verified(spark, pairs, sets, docs, width, percent)), "links")
-        state = components(spark, links)
-    return state
+    return component_rounds(spark, shared, verify)
 
 
 def near_groups(spark: SparkSession, docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:

@@ -4,6 +4,7 @@ from tidemark.llm.bpe import op5_byte_bpe
 from tidemark.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from tidemark.llm.jaccard import op10_ngram_jaccard
 from tidemark.llm.language import op1_language_id
+from tidemark.llm.lines import op9_fuzzy_lines
 from tidemark.llm.packing import op4_best_fit_packing
 from tidemark.llm.quality import op3_quality
 from tidemark.llm.substrings import op8_suffix_array_dedup
@@ -15,6 +16,7 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_fuzzy_lines": op9_fuzzy_lines,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 ORACLE = {"op2_exact_dedup": OP2_SQL}
