@@ -109,13 +109,13 @@ def shared_only(batches):
     """Of a partition sorted by (key, fp), the rows of keys that several different sets have, each once."""
     held, sent = None, False  # the last row, and whether it was sent
     for batch in batches:
+        if not batch.num_rows:
+            continue
         key, fp = batch.column("key").to_numpy(), batch.column("fp").to_numpy()
         if held is not None:
             key, fp = np.append(held[0], key), np.append(held[1], fp)
         fresh = np.append(True, (key[1:] != key[:-1]) | (fp[1:] != fp[:-1]))
         key, fp = key[fresh], fp[fresh]
-        if not len(key):
-            continue
         same = key[1:] == key[:-1]
         several = np.append(same, False) | np.append(False, same)
         if held is not None and sent:
