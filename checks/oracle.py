@@ -256,7 +256,7 @@ FROM {source} GROUP BY {key} ORDER BY revenue DESC, {key} LIMIT 10"""
 
 def now_lines(items: str, orders: str, as_of: str) -> str:
     return f"""(SELECT i.* FROM {items} i JOIN {orders} o ON o.id = i.order_id
-  WHERE i.created_at >= {as_of} - INTERVAL 1 HOUR AND i.cdc_op <> 'd' AND o.status <> 'CANCELLED')"""
+  WHERE i.created_at BETWEEN {as_of} - INTERVAL 1 HOUR AND {as_of} AND i.cdc_op <> 'd' AND o.status <> 'CANCELLED')"""
 
 
 add("q07_bestsellers_now", sales_by("product_name", now_lines("i", "o", AS_OF)))
@@ -329,8 +329,8 @@ SELECT user_id, total_spent AS ltv, total_orders, avg_order_value, avg_items_per
 FROM seg_view ORDER BY ltv DESC, user_id LIMIT 100""", segments(False), SEG_VIEW)
 add("q15_hourly_trend", f"""
 SELECT hour_timestamp, product_name, orders, quantity, revenue
-FROM ({hourly('ei', 'eo', 'i.product_name')}) WHERE hour_timestamp >= {EVENTS_AS_OF} - INTERVAL 24 HOUR""")
-add("q16_cart_trend", f"SELECT * FROM cart_view WHERE order_date >= {TODAY} - 7", CART)
+FROM ({hourly('ei', 'eo', 'i.product_name')}) WHERE hour_timestamp BETWEEN {EVENTS_AS_OF} - INTERVAL 24 HOUR AND {EVENTS_AS_OF}""")
+add("q16_cart_trend", f"SELECT * FROM cart_view WHERE order_date BETWEEN {TODAY} - 7 AND {TODAY}", CART)
 
 
 def cart_metrics(fan_out: bool) -> str:
@@ -380,7 +380,7 @@ def together(days: int) -> str:
 SELECT a.product_name AS product_a, b.product_name AS product_b, count(DISTINCT a.order_id) AS co_purchase_count,
        {r4('sum(a.subtotal + b.subtotal)', 'count(*)')} AS avg_bundle_revenue
 FROM i a JOIN i b ON a.order_id = b.order_id AND a.id < b.id
-WHERE a.cdc_op <> 'd' AND b.cdc_op <> 'd' AND a.created_at >= {AS_OF} - INTERVAL {days} DAY
+WHERE a.cdc_op <> 'd' AND b.cdc_op <> 'd' AND a.created_at BETWEEN {AS_OF} - INTERVAL {days} DAY AND {AS_OF}
 GROUP BY 1, 2 HAVING count(DISTINCT a.order_id) >= 3 ORDER BY co_purchase_count DESC, product_a, product_b LIMIT 20"""
 
 
@@ -391,7 +391,7 @@ SELECT x.product_name AS product_a, y.product_name AS product_b, count(*) AS co_
 FROM named x JOIN named y ON x.order_id = y.order_id AND x.product_name < y.product_name AND (x.recent OR y.recent)
 GROUP BY 1, 2 HAVING count(*) >= 3 ORDER BY co_purchase_count DESC, product_a, product_b LIMIT 20""", f"""
 named AS (SELECT order_id, product_name, sum(subtotal) AS amount,
-                 bool_or(created_at >= {AS_OF} - INTERVAL 900 DAY) AS recent
+                 bool_or(created_at BETWEEN {AS_OF} - INTERVAL 900 DAY AND {AS_OF}) AS recent
           FROM i WHERE cdc_op <> 'd' GROUP BY ALL)""")
 add("q18_bought_together", together(30))
 add("q18_bought_together_long", together(900))
@@ -416,12 +416,12 @@ SELECT week_start, revenue, order_count, prev AS prev_week_revenue,
 FROM (SELECT *, lag(revenue) OVER (ORDER BY week_start) AS prev FROM (
   SELECT CAST(date_trunc('week', created_at) AS DATE) AS week_start, {money('sum(total_amount)')} AS revenue,
          count(DISTINCT id) AS order_count
-  FROM o WHERE cdc_op <> 'd' AND status = 'COMPLETED' AND created_at >= {AS_OF} - INTERVAL 84 DAY GROUP BY 1))""")
+  FROM o WHERE cdc_op <> 'd' AND status = 'COMPLETED' AND created_at BETWEEN {AS_OF} - INTERVAL 84 DAY AND {AS_OF} GROUP BY 1))""")
 add("q21_stock_projection", f"""
 SELECT product_name, total_sold_30d, revenue_30d, {r4('total_sold_30d', '30')} AS avg_daily_sales,
        {r4('30000', 'total_sold_30d')} AS days_until_stockout
 FROM (SELECT product_name, {big('sum(total_quantity)')} AS total_sold_30d, {money('sum(total_revenue)')} AS revenue_30d
-      FROM daily WHERE sale_date >= {TODAY} - 30 GROUP BY product_name)
+      FROM daily WHERE sale_date BETWEEN {TODAY} - 30 AND {TODAY} GROUP BY product_name)
 WHERE total_sold_30d > 0 ORDER BY total_sold_30d DESC, product_name LIMIT 20""", LINES, DAILY)
 add("q22_revenue_forecast", f"""
 SELECT date, actual_revenue,
@@ -435,7 +435,7 @@ FROM (SELECT date, actual_revenue, CAST(x AS DOUBLE) AS x, sum(y) OVER week AS y
              CAST(sum(x * x) OVER mon AS DOUBLE) AS sxx
       FROM (SELECT *, date_diff('day', {TODAY} - 30, date) AS x, CAST(actual_revenue * 100 AS BIGINT) AS y FROM (
         SELECT CAST(created_at AS DATE) AS date, {money('sum(total_amount)')} AS actual_revenue FROM o
-        WHERE created_at >= {AS_OF} - INTERVAL 30 DAY AND cdc_op <> 'd' AND status = 'COMPLETED' GROUP BY 1))
+        WHERE created_at BETWEEN {AS_OF} - INTERVAL 30 DAY AND {AS_OF} AND cdc_op <> 'd' AND status = 'COMPLETED' GROUP BY 1))
       WINDOW week AS (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
              mon AS (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))
 ORDER BY date DESC LIMIT 30""")
@@ -445,7 +445,7 @@ SELECT date, daily_orders,
        {r4('(sum(daily_orders) FILTER (WHERE isodow(date) = isodow(' + TODAY + ')) OVER ())',
            '(count(*) FILTER (WHERE isodow(date) = isodow(' + TODAY + ')) OVER ())')} AS seasonal_pattern
 FROM (SELECT CAST(created_at AS DATE) AS date, count(*) AS daily_orders FROM o
-      WHERE created_at >= {AS_OF} - INTERVAL 60 DAY AND cdc_op <> 'd' GROUP BY 1)
+      WHERE created_at BETWEEN {AS_OF} - INTERVAL 60 DAY AND {AS_OF} AND cdc_op <> 'd' GROUP BY 1)
 WINDOW week AS (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
 add("q24_deleted_stats", f"""
 SELECT CAST(deleted_at AS DATE) AS delete_date, count(*) AS deleted_orders, {money('sum(total_amount)')} AS lost_revenue
@@ -487,14 +487,14 @@ add("q31_status_hourly", by_status("eo", "date_trunc('hour', created_at)", "orde
 add("q31_status_hourly_merged", by_status("eo", "date_trunc('hour', created_at)", "order_hour"))
 add("q32_daily_revenue_week", f"""
 SELECT CAST(created_at AS DATE) AS order_date, count(*) AS orders, {money('sum(total_amount)')} AS revenue
-FROM o WHERE created_at >= {AS_OF} - INTERVAL 7 DAY AND cdc_op <> 'd' GROUP BY 1""")
+FROM o WHERE created_at BETWEEN {AS_OF} - INTERVAL 7 DAY AND {AS_OF} AND cdc_op <> 'd' GROUP BY 1""")
 add("q33_order_summaries", f"""
 SELECT o.id, o.status, t.item_count, t.total
 FROM o JOIN (SELECT order_id, count(*) AS item_count, {money('sum(subtotal)')} AS total FROM i WHERE cdc_op <> 'd'
              GROUP BY order_id) t ON t.order_id = o.id WHERE o.cdc_op <> 'd'""")
 add("q34_product_report", f"""
 SELECT sale_date, product_id, product_name, total_revenue, total_quantity, avg_price
-FROM daily_view WHERE sale_date >= {TODAY} - 7""", LINES, DAILY, DAILY_VIEW)
+FROM daily_view WHERE sale_date BETWEEN {TODAY} - 7 AND {TODAY}""", LINES, DAILY, DAILY_VIEW)
 add("o04_users_page", "SELECT * FROM usr ORDER BY id DESC LIMIT 10 OFFSET 30")
 add("o04_products_after", "SELECT * FROM prod WHERE id < 150 ORDER BY id DESC LIMIT 10")
 
@@ -528,7 +528,7 @@ add("d01_stream_first_seen", "SELECT l_orderkey AS id, min(epoch_ms(l_shipdate))
 
 add("k01_count_reconciliation", """
 SELECT s AS source_rows, t AS target_rows, s - t AS difference,
-       CASE WHEN s - t = 0 THEN 'consistent' WHEN s - t <= 10 THEN 'minor' ELSE 'severe' END AS verdict
+       CASE WHEN s - t = 0 THEN 'consistent' WHEN abs(s - t) <= 10 THEN 'minor' ELSE 'severe' END AS verdict
 FROM (SELECT (SELECT count(*) FROM orders) AS s, (SELECT count(*) FROM o WHERE cdc_op <> 'd') AS t)""")
 add("k01_row_reconciliation", "SELECT id, 'missing' AS issue FROM o WHERE cdc_op = 'd'")
 add("k02_duplicate_ids", "SELECT id, count(*) AS row_count FROM i_log GROUP BY id HAVING count(*) > 1")
@@ -571,16 +571,16 @@ SELECT 'emails' AS table_name, count(*) AS record_count FROM (SELECT email FROM
 UNION ALL SELECT 'usernames', count(*) FROM (SELECT username FROM usr GROUP BY username HAVING count(*) > 1)""")
 add("k09_field_faults", """
 SELECT fault, count(*) AS row_count FROM (
-  SELECT CASE WHEN product_id IS NULL OR product_id <= 0 THEN 'product_id not positive'
-              WHEN coalesce(product_name, '') = '' THEN 'product_name empty'
-              WHEN quantity IS NULL OR quantity < 1 THEN 'quantity below 1'
-              WHEN price IS NULL OR price <= 0 THEN 'price not positive' END AS fault FROM i
+  SELECT 'product_id not positive' AS fault FROM i WHERE product_id IS NULL OR product_id <= 0
+  UNION ALL SELECT 'product_name empty' FROM i WHERE coalesce(product_name, '') = ''
+  UNION ALL SELECT 'quantity below 1' FROM i WHERE quantity IS NULL OR quantity < 1
+  UNION ALL SELECT 'price not positive' FROM i WHERE price IS NULL OR price <= 0
   UNION ALL SELECT 'user_id not positive' FROM o WHERE user_id IS NULL OR user_id <= 0
   UNION ALL SELECT 'no items' FROM o WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.order_id = o.id)
-  UNION ALL SELECT CASE WHEN length(coalesce(name, '')) NOT BETWEEN 1 AND 255 THEN 'name length'
-                        WHEN length(category) > 50 THEN 'category length'
-                        WHEN price IS NULL OR price < 0 THEN 'price negative'
-                        WHEN stock IS NULL OR stock < 0 THEN 'stock negative' END FROM prod
+  UNION ALL SELECT 'name length' FROM prod WHERE length(coalesce(name, '')) NOT BETWEEN 1 AND 255
+  UNION ALL SELECT 'category length' FROM prod WHERE length(category) > 50
+  UNION ALL SELECT 'price negative' FROM prod WHERE price IS NULL OR price < 0
+  UNION ALL SELECT 'stock negative' FROM prod WHERE stock IS NULL OR stock < 0
   UNION ALL SELECT 'unknown status' FROM o WHERE status NOT IN ('PENDING', 'PROCESSING', 'COMPLETED', 'CANCELLED'))
 WHERE fault IS NOT NULL GROUP BY fault""")
 add("k11_deletable_users", "SELECT id, username FROM usr WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.user_id = usr.id)")

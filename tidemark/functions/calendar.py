@@ -19,12 +19,12 @@ def day_of(as_of) -> Column:
 
 
 def since(ts: Column, as_of, interval: str) -> Column:
-    """``ts`` lies no further back than ``interval`` (for example ``30 DAY``)."""
-    return ts >= moment(as_of) - F.expr(f"INTERVAL {interval}")
+    """``ts`` lies no further back than ``interval`` (for example ``30 DAY``), and not after ``as_of``."""
+    return (ts >= moment(as_of) - F.expr(f"INTERVAL {interval}")) & (ts <= moment(as_of))
 
 
 def days_back(day: Column, as_of, days: int) -> Column:
-    return day >= F.date_sub(day_of(as_of), days)
+    return (day >= F.date_sub(day_of(as_of), days)) & (day <= day_of(as_of))
 
 
 def on_day(ts: Column, as_of) -> Column:

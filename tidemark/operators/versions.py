@@ -71,9 +71,13 @@ def compact(spark: SparkSession, log_path: str, out_root: str, key: str = "id",
     """Rewrite a change log as a snapshot of current rows and return its folder.
 
     The snapshot goes to a folder of its own and is then named in a manifest, so
-    readers see either the old snapshot or the new one.
+    readers see either the old snapshot or the new one. Of a log that a stream wrote, only
+    accepted rows count, and of one version the later source position wins.
     """
-    rows = latest(spark.read.parquet(log_path), key, version, ties)
+    rows = spark.read.parquet(log_path)
+    if "rejected" in rows.columns:
+        rows = rows.filter("not rejected").drop("run", "batch_id", "rejected", "yyyymm")
+    rows = latest(rows, key, version, ties or [c for c in ("source_pos",) if c in rows.columns])
     if keep_months is not None:
         rows = retain_months(rows, as_of, keep_months)
     folder = f"{out_root}/snapshot-{uuid.uuid4().hex}"

@@ -23,13 +23,13 @@ def count_reconciliation(source: DataFrame, target: DataFrame) -> DataFrame:
     counts = both.agg(whole(F.sum("s")).alias("source_rows"), whole(F.sum("t")).alias("target_rows"))
     gap = F.col("source_rows") - F.col("target_rows")
     return counts.withColumn("difference", gap).withColumn(
-        "verdict", F.when(gap == 0, "consistent").when(gap <= 10, "minor").otherwise("severe"))
+        "verdict", F.when(gap == 0, "consistent").when(F.abs(gap) <= 10, "minor").otherwise("severe"))
 
 
 def row_reconciliation(source: DataFrame, target: DataFrame, columns: Sequence[str], key: str = "id") -> DataFrame:
     """Keys that are missing, surplus or different, found by one aggregation."""
     def side(rows: DataFrame, is_source: bool) -> DataFrame:
-        return rows.select(key, F.xxhash64(*columns).alias("h"), F.lit(is_source).alias("is_source"))
+        return rows.select(key, F.xxhash64(*columns, *[F.col(c).isNull() for c in columns]).alias("h"), F.lit(is_source).alias("is_source"))
     both = side(source, True).unionAll(side(alive(target), False))
     seen = both.groupBy(key).agg(
         F.count_if("is_source").alias("s"), F.count_if(~F.col("is_source")).alias("t"),
@@ -123,12 +123,17 @@ def duplicate_values(users: DataFrame, column: str) -> DataFrame:
 
 
 def item_faults(items: DataFrame) -> DataFrame:
-    """Items that break a field rule, with the first rule they break."""
-    fault = (F.when(~F.coalesce(F.col("product_id") > 0, F.lit(False)), "product_id not positive")
-             .when(F.length(F.coalesce("product_name", F.lit(""))) == 0, "product_name empty")
-             .when(~F.coalesce(F.col("quantity") >= 1, F.lit(False)), "quantity below 1")
-             .when(~F.coalesce(F.col("price") > 0, F.lit(False)), "price not positive"))
-    return items.select("id", fault.alias("fault")).filter("fault IS NOT NULL")
+    """One row per item and field rule that it breaks."""
+    return _each_fault(
+        items,
+        F.when(~F.coalesce(F.col("product_id") > 0, F.lit(False)), "product_id not positive"),
+        F.when(F.length(F.coalesce("product_name", F.lit(""))) == 0, "product_name empty"),
+        F.when(~F.coalesce(F.col("quantity") >= 1, F.lit(False)), "quantity below 1"),
+        F.when(~F.coalesce(F.col("price") > 0, F.lit(False)), "price not positive"))
+
+
+def _each_fault(rows: DataFrame, *faults) -> DataFrame:
+    return rows.select("id", F.explode(F.array_compact(F.array(*faults))).alias("fault"))
 
 
 def order_faults(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -141,11 +146,13 @@ def order_faults(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def product_faults(products: DataFrame) -> DataFrame:
-    fault = (F.when(~F.length(F.coalesce("name", F.lit(""))).between(1, 255), "name length")
-             .when(F.length("category") > 50, "category length")
-             .when(~F.coalesce(F.col("price") >= 0, F.lit(False)), "price negative")
-             .when(~F.coalesce(F.col("stock") >= 0, F.lit(False)), "stock negative"))
-    return products.select("id", fault.alias("fault")).filter("fault IS NOT NULL")
+    """One row per product and field rule that it breaks."""
+    return _each_fault(
+        products,
+        F.when(~F.length(F.coalesce("name", F.lit(""))).between(1, 255), "name length"),
+        F.when(F.length("category") > 50, "category length"),
+        F.when(~F.coalesce(F.col("price") >= 0, F.lit(False)), "price negative"),
+        F.when(~F.coalesce(F.col("stock") >= 0, F.lit(False)), "stock negative"))
 
 
 def status_faults(orders: DataFrame, statuses: Sequence[str]) -> DataFrame:

@@ -40,9 +40,12 @@ def start_at_timestamp(events: DataFrame, ts_ms: int) -> DataFrame:
 
 
 def start_at_offset(events: DataFrame, file: str, pos: int) -> DataFrame:
-    """Changes from a position of the source log on (file names sort by age)."""
+    """Changes from a position of the source log on. Log files count up by the number at the end of their names."""
+    def number(name):
+        return F.regexp_extract(name, r"(\d+)$", 1).try_cast("bigint")
     name = _field("$.source.file")
-    return events.filter((name > file) | ((name == file) & (_field("$.source.pos", "bigint") >= pos)))
+    at, start = number(name), number(F.lit(file))
+    return events.filter((at > start) | ((at == start) & (_field("$.source.pos", "bigint") >= pos)))
 
 
 def kafka_options(servers: str, topic: str, start: str = "latest", max_per_trigger: int | None = 500_000,

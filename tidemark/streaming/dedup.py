@@ -10,12 +10,12 @@ FIRST_SEEN_TTL_MS = 600_000
 
 
 def drop_repeats(rows: DataFrame, ingest: str = "ingest_ts", delay: str = "10 minutes") -> DataFrame:
-    """Drop repeats of one (id, version) that arrive within ``delay``.
+    """Drop repeats of one change, (id, version, source position), that arrive within ``delay``.
 
     The watermark runs on arrival time. On the time of the change it would drop
     late versions, which must reach the log.
     """
-    return rows.withWatermark(ingest, delay).dropDuplicatesWithinWatermark(["id", "cdc_ts_ms"])
+    return rows.withWatermark(ingest, delay).dropDuplicatesWithinWatermark(["id", "cdc_ts_ms", *[c for c in ("source_pos",) if c in rows.columns]])
 
 
 def first_seen(rows: DataFrame, schema: T.StructType, ttl_ms: int = FIRST_SEEN_TTL_MS) -> DataFrame:

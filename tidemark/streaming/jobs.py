@@ -56,9 +56,10 @@ def sync(events: DataFrame, table: str, base: str, every: str | None = writers.S
         rows = parsing.typed_rows(events, schema, keep=[TIE.name])
     else:
         raise ValueError(f"unknown mode: {mode}")
-    sink = writers.log_sink(f"{base}/{table}", required, after)
+    checkpoint = f"{base}/checkpoints/{table}-{mode}"
+    sink = writers.log_sink(f"{base}/{table}", required, after, writers.run_of(events.sparkSession, checkpoint))
     return _start(rows.writeStream.foreachBatch(sink).outputMode("append")
-                  .option("checkpointLocation", f"{base}/checkpoints/{table}-{mode}")
+                  .option("checkpointLocation", checkpoint)
                   .trigger(**trigger(every)), events.sparkSession, state_partitions)
 
 
@@ -76,15 +77,19 @@ def _start(writer, spark: SparkSession, state_partitions: int | None) -> Streami
         spark.conf.set(name, before)
 
 
-def drain(query: StreamingQuery, poll_s: float = 0.5, limit_s: float = 600.0) -> None:
+def drain(query: StreamingQuery, poll_s: float = 0.5, limit_s: float | None = None) -> None:
     """Stop an interval query once a micro-batch found nothing new to read.
 
-    For runs with processing-time state, which never count as finished.
+    For runs with processing-time state, which never count as finished. If ``limit_s`` is
+    given and passes first, the query is stopped and TimeoutError raised: what it wrote is
+    then a part only.
     """
-    end = time.time() + limit_s
+    end = None if limit_s is None else time.time() + limit_s
     started = False
     try:
-        while time.time() < end and query.isActive:
+        while query.isActive:
+            if end is not None and time.time() >= end:
+                raise TimeoutError(f"the query had more to read after {limit_s} s")
             last = query.lastProgress
             if last is not None and last["numInputRows"] > 0:
                 started = True
@@ -145,8 +150,12 @@ def refresh_product_daily(spark: SparkSession, base: str, changed_items: DataFra
     orders = current_rows(spark, base, "orders")
     month = cal.yyyymm(F.col("created_at"))
     daily = rollups.product_daily(items.filter(month.isin(months)), orders)
-    (daily.withColumn("yyyymm", cal.yyyymm(F.col("sale_date")))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("yyyymm").parquet(rollup_path))
+    daily = daily.withColumn("yyyymm", cal.yyyymm(F.col("sale_date"))).persist()
+    left = {r[0] for r in daily.select("yyyymm").distinct().collect()}  # one row per calendar month
+    for emptied in set(months) - left:  # an overwrite by month can't clear a month without rows
+        writers.remove(spark, f"{rollup_path}/yyyymm={emptied}")
+    (daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("yyyymm").parquet(rollup_path))
+    daily.unpersist()
 
 
 def progress(query: StreamingQuery) -> list[dict]:
