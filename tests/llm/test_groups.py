@@ -151,3 +151,18 @@ def test_vectors(spark):
     found = np.array([got[i].n_links for i, _ in rows])
     assert (found <= near.sum(1) - 1).all() and found.sum() >= 0.9 * (near.sum() - len(x))
     assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i, _ in odd)
+
+
+def test_vectors_hot_group_in_parts(spark, monkeypatch):
+    """A third of the rows are near copies: their shards are cut into parts, and no link is counted twice or lost."""
+    monkeypatch.setattr(vectors, "SPLIT", 40)
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(size=(200, 16)), rng.normal(size=16) + rng.normal(size=(150, 16)) * 0.05])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000 + i, x[210].tolist()) for i in range(20)]
+    got = {r.vec_id: r for r in vectors.link_vectors(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"), shard=60).collect()}
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = (x @ x.T >= 0.9).sum(1) - 1
+    found = np.array([got[i].n_links for i, _ in rows])
+    assert (found <= near).all() and found.sum() >= 0.95 * near.sum()
+    assert all(got[i].component_id == 200 for i, _ in rows[200:])

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import components, join_counted, staged
 
 POOL, DEGREE, ALPHA, BEAM = 48, 20, 1.2, 24
+EDGES = 1 << 20  # edges that a search expands at once
+SPLIT = 2_000  # a shard of more than two times as many nodes is compared in parts of this size
 
 
 def unit(rows: list) -> np.ndarray:
@@ -49,53 +51,89 @@ def prune(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def range_search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """(query, found) pairs with a cosine of at least ``least``.
+def dots(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosines of rows a and b, in blocks."""
+    step = 1 << 16
+    return np.concatenate([np.einsum("kd,kd->k", x[a[i:i + step]], x[b[i:i + step]]) for i in range(0, len(a), step)] or [np.zeros(0)])
+
+
+def neighbours(starts: np.ndarray, flat: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(position in ``nodes``, neighbour) for every neighbour of the nodes; lists lie in ``flat`` from ``starts``."""
+    counts = starts[nodes + 1] - starts[nodes]
+    owner = np.repeat(np.arange(len(nodes)), counts)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return owner, flat[np.repeat(starts[nodes], counts) + place]
+
+
+def range_search(x: np.ndarray, starts: np.ndarray, flat: np.ndarray, queries: np.ndarray, least: float, beam: int) -> np.ndarray:
+    """Boolean (query, row): found with a cosine of at least ``least``.
 
     A greedy search from the medoid walks to each query; from what is in range, and from the
-    query's own place, the search then expands through every neighbour in range.
+    query's own place, the search then expands through every neighbour in range, in blocks of
+    EDGES edges.
     """
     n, q = len(x), len(queries)
     rows = np.arange(q)
     medoid = int((x @ x.mean(0)).argmax())
-    held = np.full((q, beam), -1, np.int64)
+    held = np.full((q, beam), medoid, np.int64)
     near = np.full((q, beam), -3.0)
     done = np.ones((q, beam), bool)
-    held[:, 0], near[:, 0], done[:, 0] = medoid, x[queries] @ x[medoid], False
-    met = np.zeros((q, n), bool)
-    met[:, medoid] = True
+    near[:, 0], done[:, 0] = x[queries] @ x[medoid], False
+    met, found = np.zeros((q, n), bool), np.zeros((q, n), bool)
+    met[:, medoid], met[rows, queries] = True, True
+    found[:, medoid], found[rows, queries] = near[:, 0] >= least, True
     for _ in range(4 * beam):
         pick = np.where(done, -3.0, near).argmax(1)
-        active = ~done[rows, pick]
-        if not active.any():
+        active = np.flatnonzero(~done[rows, pick])
+        if not len(active):
             break
         done[rows, pick] = True
-        new = np.where(active[:, None], graph[held[rows, pick]], -1)
-        new[(new >= 0) & met[rows[:, None], new]] = -1
-        met[rows[:, None], np.where(new >= 0, new, medoid)] = True
-        close = np.where(new >= 0, np.einsum("qd,qkd->qk", x[queries], x[new]), -3.0)
-        held, near, done = np.concatenate([held, new], 1), np.concatenate([near, close], 1), np.concatenate([done, new < 0], 1)
+        owner, to = neighbours(starts, flat, held[active, pick[active]])
+        a = active[owner]
+        fresh = ~met[a, to]
+        a, to = a[fresh], to[fresh]
+        met[a, to] = True
+        close = dots(x, queries[a], to)
+        found[a, to] = close >= least
+        counts = np.bincount(a, minlength=q)
+        place = np.arange(len(a)) - np.repeat(np.cumsum(counts) - counts, counts)
+        new, new_near = np.full((q, counts.max(initial=0)), medoid, np.int64), np.full((q, counts.max(initial=0)), -3.0)
+        new[a, place], new_near[a, place] = to, close
+        held, near, done = np.concatenate([held, new], 1), np.concatenate([near, new_near], 1), np.concatenate([done, new_near == -3.0], 1)
         order = np.argsort(-near, axis=1, kind="stable")[:, :beam]
         held, near, done = (np.take_along_axis(v, order, 1) for v in (held, near, done))
-    slack = 1e-9
-    found = np.zeros((q, n), bool)
-    at_q, at_k = np.nonzero(near >= least - slack)
-    found[at_q, held[at_q, at_k]] = True
-    found[rows, queries] = True
-    front = np.argwhere(found)
-    while len(front):
-        to = graph[front[:, 1]]
-        a, b = np.repeat(front[:, 0], to.shape[1]), to.ravel()
-        a, b = a[b >= 0], b[b >= 0]
-        fresh = ~found[a, b]
-        pairs = np.unique(a[fresh] * n + b[fresh])
-        a, b = pairs // n, pairs % n
-        ok = np.einsum("kd,kd->k", x[queries[a]], x[b]) >= least - slack
-        found[a[ok], b[ok]] = True
-        front = np.stack([a[ok], b[ok]], 1)
+    front = [np.nonzero(found)]
+    while front:
+        at, node = front.pop()
+        ends = np.cumsum(starts[node + 1] - starts[node])
+        if len(at) > 1 and ends[-1] > EDGES:
+            half = len(at) // 2
+            front += [(at[:half], node[:half]), (at[half:], node[half:])]
+            continue
+        owner, to = neighbours(starts, flat, node)
+        fresh = ~met[at[owner], to]
+        codes = np.unique(at[owner[fresh]] * n + to[fresh])
+        a, to = codes // n, codes % n
+        met[a, to] = True
+        ok = dots(x, queries[a], to) >= least
+        found[a[ok], to[ok]] = True
+        if ok.any():
+            front.append((a[ok], to[ok]))
     found[rows, queries] = False
-    at_q, b = np.nonzero(found)
-    return queries[at_q], b
+    return found
+
+
+def parts_of(hit: np.ndarray) -> np.ndarray:
+    """Lowest row reachable from each row of a symmetric boolean matrix."""
+    low = np.full(len(hit), -1)
+    for i in range(len(hit)):
+        if low[i] < 0:
+            low[i] = i
+            front = np.array([i])
+            while len(front):
+                front = np.flatnonzero(hit[front].any(0) & (low < 0))
+                low[front] = i
+    return low
 
 
 def centres(sample: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
@@ -129,17 +167,17 @@ def link_vectors(spark: SparkSession, vectors: DataFrame, least: float = 0.9, sh
     n = nodes.count()
     links = None
     if n > 1:
+        asked = audit_counts(spark, nodes, least, audit)
         for wide in (overlap, 2 * overlap, 4 * overlap):
             links = staged(spark, shard_links(spark, nodes, n, least, shard, wide, sample), "links")
-            if audited(spark, nodes, links, least, audit) >= recall:
+            if audited(links, asked) >= recall:
                 break
     plain = rows.select("vec_id", "embedding")
     if links is None:
         counted = nodes.select("embedding", F.col("copies").alias("n"), F.col("id").alias("component_id"), F.lit(0).cast("long").alias("more"))
     else:
-        named = nodes.select(F.col("id").alias("b"), "copies")
-        more = links.join(named, "b").groupBy("a").agg(F.sum("copies").alias("more")).withColumnRenamed("a", "id")
-        state = components(spark, links.filter("a < b"))
+        more = links.groupBy("a").agg(F.sum("more").alias("more")).withColumnRenamed("a", "id")
+        state = components(spark, links.select("a", "b"))
         counted = nodes.join(more, "id", "left").join(state, "id", "left").select(
             "embedding", F.col("copies").alias("n"), F.coalesce("component_id", "id").alias("component_id"), F.coalesce("more", F.lit(0)).cast("long").alias("more"))
     counted = staged(spark, counted.withColumn("copies", F.col("n")), "counted")
@@ -150,7 +188,12 @@ def link_vectors(spark: SparkSession, vectors: DataFrame, least: float = 0.9, sh
 
 
 def shard_links(spark: SparkSession, nodes: DataFrame, n: int, least: float, shard: int, overlap: int, sample: int) -> DataFrame:
-    """Directed links (a, b) between nodes, both ways."""
+    """For each node and shard: a, b (lowest id of a's component there), n and more (linked nodes and vectors).
+
+    Links are counted where they are found and never sent: a pair that meets in several
+    shards counts in the lowest one. A shard with a hot group is cut into parts, and every
+    two parts are one group, so that no task holds more than about 2 * SPLIT nodes.
+    """
     drawn = nodes.orderBy(F.xxhash64("id"), "id").limit(sample).select("embedding").toPandas()["embedding"]
     by_size: dict[int, list] = {}
     for v in drawn:
@@ -160,18 +203,27 @@ def shard_links(spark: SparkSession, nodes: DataFrame, n: int, least: float, sha
 
     def assign(batches):
         for batch in batches:
-            ids, vectors = batch.column("id").to_pylist(), batch.column("embedding").to_pylist()
+            ids, vectors, copies = (batch.column(c).to_pylist() for c in ("id", "embedding", "copies"))
             for size in sorted({len(v) for v in vectors}):
                 at = [i for i, v in enumerate(vectors) if len(v) == size]
                 x = unit([vectors[i] for i in at])
                 c = shared.value.get(size)
                 near = -(x @ c.T) if c is not None else np.zeros((len(x), 1))
                 own = np.argsort(near, axis=1, kind="stable")[:, :overlap]
+                wide = own.shape[1]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([f"{size}-{s}" for row in own for s in row]), pa.array([ids[i] for i in at for _ in range(own.shape[1])], pa.int64()),
-                     pa.array([v for v in x for _ in range(own.shape[1])], pa.list_(pa.float64()))], names=["shard", "id", "x"])
+                    [pa.array([f"{size}-{s}" for row in own for s in row]), pa.array(own.ravel(), pa.int64()),
+                     pa.array([row for row in own for _ in range(wide)], pa.list_(pa.int64())),
+                     pa.array([ids[i] for i in at for _ in range(wide)], pa.int64()), pa.array([copies[i] for i in at for _ in range(wide)], pa.int64()),
+                     pa.array([v for v in x for _ in range(wide)], pa.list_(pa.float64()))], names=["shard", "own", "homes", "id", "copies", "x"])
 
-    placed = staged(spark, nodes.select("id", "embedding").mapInArrow(assign, "shard string, id long, x array<double>"), "placed")
+    placed = staged(spark, nodes.select("id", "embedding", "copies").mapInArrow(
+        assign, "shard string, own long, homes array<long>, id long, copies long, x array<double>"), "placed")
+    large = placed.groupBy("shard").count().filter(F.col("count") > 2 * SPLIT)  # one row a shard at most, and shards are bounded
+    cut = placed.join(F.broadcast(large), "shard", "left").withColumn("parts", F.ceil(F.coalesce("count", F.lit(1)) / SPLIT))
+    cut = cut.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    placed = cut.select(F.concat_ws("/", "shard", F.least("part", "other"), F.greatest("part", "other")).alias("shard"),
+                        "own", "homes", "id", "copies", "x", "part")
 
     def built(table: pa.Table) -> pa.Table:
         ids = table.column("id").to_numpy()
@@ -180,54 +232,70 @@ def shard_links(spark: SparkSession, nodes: DataFrame, n: int, least: float, sha
         graph = prune(x)
         a, k = np.nonzero(graph >= 0)
         b = graph[a, k]
-        return pa.table({"a": np.concatenate([ids[a], ids[b]]), "b": np.concatenate([ids[b], ids[a]])})
+        # Edges go both ways; a node keeps the nearest DEGREE of those that point to it.
+        nearest = np.lexsort((-dots(x, a, b), b))
+        back = b[nearest]
+        nearest = nearest[np.arange(len(back)) - np.searchsorted(back, back) < DEGREE]
+        return pa.table({"a": np.concatenate([ids[a], ids[b[nearest]]]), "b": np.concatenate([ids[b], ids[a[nearest]]])})
 
-    edges = placed.groupBy("shard").applyInArrow(built, "a long, b long").distinct()
+    edges = placed.select("shard", "id", "x").groupBy("shard").applyInArrow(built, "a long, b long").distinct()
     lists = staged(spark, edges.groupBy("a").agg(F.collect_list("b").alias("to")), "graph")
     walked = placed.join(lists.withColumnRenamed("a", "id"), "id", "left")
 
     def searched(table: pa.Table) -> pa.Table:
         ids = table.column("id").to_numpy()
         order = np.argsort(ids)
-        ids, x = ids[order], np.array(table.column("x").to_pylist())[order]
-        lists = [table.column("to")[int(i)].as_py() or [] for i in order]
-        local = [np.array(t, np.int64)[np.isin(t, ids)] if t else np.zeros(0, np.int64) for t in lists]
-        graph = np.full((len(ids), max(1, max(map(len, local)))), -1, np.int64)
-        for i, to in enumerate(local):
-            graph[i, :len(to)] = np.searchsorted(ids, to)
-        a, b = [], []
-        for at in range(0, len(ids), 512):
-            found = range_search(x, graph, np.arange(at, min(at + 512, len(ids))), least, BEAM)
-            a.append(found[0])
-            b.append(found[1])
-        a, b = np.concatenate(a), np.concatenate(b)
-        exact = (x[a] * x[b]).sum(1) >= least
-        return pa.table({"a": ids[a[exact]], "b": ids[b[exact]]})
-
-    found = walked.groupBy("shard").applyInArrow(searched, "a long, b long")
-    return found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-
-
-def audited(spark: SparkSession, nodes: DataFrame, links: DataFrame, least: float, audit: int) -> float:
-    """Share of the links of a bounded set of query nodes, by comparison with all nodes in blocks, that was found."""
+        table, ids = table.take(pa.array(order)), ids[order]
+        x = np.array(table.column("x").to_pylist())
+        lists = [np.array(to or [], np.int64) for to in table.column("to").to_pylist()]
+        local = [np.searchsorted(ids, to[np.isin(to, ids)]) for to in lists]
+        starts = np.concatenate([[0], np.cumsum([len(to) for to in local])])
+        flat = np.concatenate(local).astype(np.int64)
+        hit = np.concatenate([range_search(x, starts, flat, np.arange(at, min(at + 512, len(ids))), least, BEAM) for at in range(0, len(ids), 512)])
+        hit |= hit.T
+        low = parts_of(hit)
+        # Pairs that share a lower shard are counted there; those of one part in the group of that part alone.
+        homes, own = np.array(table.column("homes").to_pylist()), table.column("own")[0].as_py()
+        lower = np.unique(homes[homes < own])
+        if len(lower):
+            inside = (homes[:, :, None] == lower).any(1).astype(np.float32)
+            hit &= inside @ inside.T == 0
+        part = table.column("part").to_numpy()
+        if part.min() != part.max():
+            hit &= part[:, None] != part
+        elif table.column("shard")[0].as_py().rsplit("/", 2)[1:] != [str(part[0])] * 2:
+            hit[:] = False
+        copies = table.column("copies").to_numpy()
+        return pa.table({"a": ids, "b": ids[low], "n": hit.sum(1), "more": np.array([copies[row].sum() for row in hit], np.int64)})
+
+    return walked.groupBy("shard").applyInArrow(searched, "a long, b long, n long, more long")
+
+
+def audit_counts(spark: SparkSession, nodes: DataFrame, least: float, audit: int) -> DataFrame:
+    """a, true: links of a bounded set of query nodes, by comparison with all nodes in blocks."""
     asked = nodes.filter("id % 100 = 0").orderBy(F.xxhash64("id"), "id").limit(audit).select("id", "embedding").toPandas()
-    if not len(asked):
-        return 1.0
     shared = spark.sparkContext.broadcast((asked["id"].to_numpy(), [np.array(v) for v in asked["embedding"]]))
 
     def run(batches):
         ids, vectors = shared.value
+        total = np.zeros(len(ids), np.int64)
         for batch in batches:
             rows = batch.column("embedding").to_pylist()
             for size in sorted({len(v) for v in rows} & {len(v) for v in vectors}):
                 at = [i for i, v in enumerate(rows) if len(v) == size]
                 own = [i for i, v in enumerate(vectors) if len(v) == size]
-                near = unit([vectors[i] for i in own]) @ unit([rows[i] for i in at]).T
-                a, b = np.nonzero(near >= least + 1e-9)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[own][a]), pa.array(batch.column("id").to_numpy()[at][b])], names=["a", "b"])
+                near = unit([vectors[i] for i in own]) @ unit([rows[i] for i in at]).T >= least + 1e-9
+                near &= ids[own][:, None] != batch.column("id").to_numpy()[at]
+                total[own] += near.sum(1)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total)], names=["a", "true"])
+
+    return staged(spark, nodes.select("id", "embedding").mapInArrow(run, "a long, true long").groupBy("a").agg(F.sum("true").alias("true")), "asked")
+
 
-    true = nodes.select("id", "embedding").mapInArrow(run, "a long, b long").filter("a != b")
-    total, found = true.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").agg(F.count("*"), F.count("hit")).first()
+def audited(links: DataFrame, asked: DataFrame) -> float:
+    """Share of the links of the query nodes that was found."""
+    got = links.groupBy("a").agg(F.sum("n").alias("n"))
+    total, found = asked.join(got, "a", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("n", F.lit(0))))).first()
     return found / total if total else 1.0
 
 
