@@ -166,3 +166,29 @@ def test_vectors_hot_group_in_parts(spark, monkeypatch):
     found = np.array([got[i].n_links for i, _ in rows])
     assert (found <= near).all() and found.sum() >= 0.95 * near.sum()
     assert all(got[i].component_id == 200 for i, _ in rows[200:])
+
+
+def test_hot_group_shares_a_home():
+    """A third of the vectors are different near copies: every two of them meet in a shard."""
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(size=(8000, 64)), rng.normal(size=64) + rng.normal(size=(4000, 64)) * 0.3])
+    x = vectors.unit(list(x))
+    homes = vectors.homes_of(x, vectors.centres(x[rng.permutation(len(x))[:6000]], 120, 0.9), 3, 0.9)[8000:]
+    assert (homes == np.bincount(homes.ravel()).argmax()).any(1).all()
+
+
+def test_vectors_below_the_target_are_compared_exactly(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SPLIT", 60)
+    monkeypatch.setattr(vectors, "audited", lambda links, asked: 0.0)
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(12, 16))[rng.integers(0, 12, 300)] + rng.normal(size=(300, 16)) * 0.25
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = {r.vec_id: r.n_links for r in vectors.link_vectors(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"), shard=40).collect()}
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert [got[i] for i in range(300)] == ((x @ x.T >= 0.9).sum(1) - 1).tolist()
+
+
+def test_audit_counts_nodes_not_links(spark):
+    asked = spark.createDataFrame([(100, 98), (200, 1), (300, 1)], "a long, true long")
+    links = spark.createDataFrame([(100, 98)], "a long, n long")
+    assert abs(vectors.audited(links, asked) - 1 / 3) < 1e-9

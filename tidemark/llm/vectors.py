@@ -136,8 +136,11 @@ def parts_of(hit: np.ndarray) -> np.ndarray:
     return low
 
 
-def centres(sample: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
-    """Spherical k-means on the sample."""
+def centres(sample: np.ndarray, k: int, least: float, rounds: int = 6) -> np.ndarray:
+    """Spherical k-means on the sample, then without the centres that lie within ``least`` of one with more members.
+
+    A hot group of near copies draws many centres, which would part its members; so it keeps one.
+    """
     c = sample[np.linspace(0, len(sample) - 1, k).astype(int)]
     for _ in range(rounds):
         own = (sample @ c.T).argmax(1)
@@ -145,7 +148,27 @@ def centres(sample: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
         np.add.at(sums, own, sample)
         norm = np.linalg.norm(sums, axis=1, keepdims=True)
         c = np.where(norm > 1e-9, sums / np.maximum(norm, 1e-9), c)
-    return c
+    order = np.argsort(-np.bincount((sample @ c.T).argmax(1), minlength=len(c)), kind="stable")
+    c, kept = c[order], []
+    for i in range(len(c)):
+        if not kept or (c[kept] @ c[i]).max() < least:
+            kept.append(i)
+    return c[kept]
+
+
+def homes_of(x: np.ndarray, c: np.ndarray, overlap: int, least: float) -> np.ndarray:
+    """The ``overlap`` nearest centres of each vector, nearest first.
+
+    Where no vector within ``least`` can be nearer to another centre, by the triangle inequality of
+    angles, the nearest alone is enough: it fills the row.
+    """
+    near = x @ c.T
+    own = np.argsort(-near, axis=1, kind="stable")[:, :overlap]
+    if own.shape[1] > 1:
+        angle = np.arccos(np.clip(np.take_along_axis(near, own[:, :2], 1), -1, 1))
+        alone = angle[:, 1] - angle[:, 0] > 2 * np.arccos(least) + 1e-6
+        own[alone] = own[alone, :1]
+    return own
 
 
 def link_vectors(spark: SparkSession, vectors: DataFrame, least: float = 0.9, shard: int = 1000, overlap: int = 3,
@@ -156,7 +179,7 @@ def link_vectors(spark: SparkSession, vectors: DataFrame, least: float = 0.9, sh
     are their own component. Equal vectors are one node that stands for all of them. Centres
     come from a bounded sample; every node goes to its ``overlap`` nearest shards. An audit compares up to ``audit``
     nodes with ids divisible by 100 with all nodes; below ``recall``, the overlap is
-    widened and the search repeated. A vector with another length than most makes its own group.
+    widened and the search repeated, at last by comparing all nodes with each other. A vector with another length than most makes its own group.
     """
     good = F.expr("""embedding is not null and size(embedding) > 0 and vec_id is not null
         and forall(embedding, e -> e is not null and not isnan(e) and abs(e) < double('Infinity')) and exists(embedding, e -> e != 0)""")
@@ -168,9 +191,9 @@ def link_vectors(spark: SparkSession, vectors: DataFrame, least: float = 0.9, sh
     links = None
     if n > 1:
         asked = audit_counts(spark, nodes, least, audit)
-        for wide in (overlap, 2 * overlap, 4 * overlap):
+        for wide in (overlap, 2 * overlap, 4 * overlap, None):
             links = staged(spark, shard_links(spark, nodes, n, least, shard, wide, sample), "links")
-            if audited(links, asked) >= recall:
+            if wide is None or audited(links, asked) >= recall:
                 break
     plain = rows.select("vec_id", "embedding")
     if links is None:
@@ -187,18 +210,19 @@ def link_vectors(spark: SparkSession, vectors: DataFrame, least: float = 0.9, sh
     return result.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def shard_links(spark: SparkSession, nodes: DataFrame, n: int, least: float, shard: int, overlap: int, sample: int) -> DataFrame:
+def shard_links(spark: SparkSession, nodes: DataFrame, n: int, least: float, shard: int, overlap: int | None, sample: int) -> DataFrame:
     """For each node and shard: a, b (lowest id of a's component there), n and more (linked nodes and vectors).
 
     Links are counted where they are found and never sent: a pair that meets in several
     shards counts in the lowest one. A shard with a hot group is cut into parts, and every
     two parts are one group, so that no task holds more than about 2 * SPLIT nodes.
+    Without an ``overlap``, all nodes of one length are one shard and are compared exactly.
     """
     drawn = nodes.orderBy(F.xxhash64("id"), "id").limit(sample).select("embedding").toPandas()["embedding"]
     by_size: dict[int, list] = {}
     for v in drawn:
         by_size.setdefault(len(v), []).append(v)
-    shards = {size: centres(unit(list(v)), max(1, min(len(v), -(-n * len(v) // len(drawn) // shard), 4096))) for size, v in by_size.items()}
+    shards = {} if overlap is None else {size: centres(unit(list(v)), max(1, min(len(v), -(-n * len(v) // len(drawn) // shard), 4096)), least) for size, v in by_size.items()}
     shared = spark.sparkContext.broadcast(shards)
 
     def assign(batches):
@@ -208,14 +232,13 @@ def shard_links(spark: SparkSession, nodes: DataFrame, n: int, least: float, sha
                 at = [i for i, v in enumerate(vectors) if len(v) == size]
                 x = unit([vectors[i] for i in at])
                 c = shared.value.get(size)
-                near = -(x @ c.T) if c is not None else np.zeros((len(x), 1))
-                own = np.argsort(near, axis=1, kind="stable")[:, :overlap]
-                wide = own.shape[1]
+                own = homes_of(x, c, overlap, least) if c is not None else np.zeros((len(x), 1), np.int64)
+                sent = [(k, s) for k, row in enumerate(own.tolist()) for s in dict.fromkeys(row)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([f"{size}-{s}" for row in own for s in row]), pa.array(own.ravel(), pa.int64()),
-                     pa.array([row for row in own for _ in range(wide)], pa.list_(pa.int64())),
-                     pa.array([ids[i] for i in at for _ in range(wide)], pa.int64()), pa.array([copies[i] for i in at for _ in range(wide)], pa.int64()),
-                     pa.array([v for v in x for _ in range(wide)], pa.list_(pa.float64()))], names=["shard", "own", "homes", "id", "copies", "x"])
+                    [pa.array([f"{size}-{s}" for _, s in sent]), pa.array([s for _, s in sent], pa.int64()),
+                     pa.array([own[k] for k, _ in sent], pa.list_(pa.int64())),
+                     pa.array([ids[at[k]] for k, _ in sent], pa.int64()), pa.array([copies[at[k]] for k, _ in sent], pa.int64()),
+                     pa.array([x[k] for k, _ in sent], pa.list_(pa.float64()))], names=["shard", "own", "homes", "id", "copies", "x"])
 
     placed = staged(spark, nodes.select("id", "embedding", "copies").mapInArrow(
         assign, "shard string, own long, homes array<long>, id long, copies long, x array<double>"), "placed")
@@ -238,20 +261,27 @@ def shard_links(spark: SparkSession, nodes: DataFrame, n: int, least: float, sha
         nearest = nearest[np.arange(len(back)) - np.searchsorted(back, back) < DEGREE]
         return pa.table({"a": np.concatenate([ids[a], ids[b[nearest]]]), "b": np.concatenate([ids[b], ids[a[nearest]]])})
 
-    edges = placed.select("shard", "id", "x").groupBy("shard").applyInArrow(built, "a long, b long").distinct()
-    lists = staged(spark, edges.groupBy("a").agg(F.collect_list("b").alias("to")), "graph")
-    walked = placed.join(lists.withColumnRenamed("a", "id"), "id", "left")
+    if overlap is None:
+        walked = placed
+    else:
+        edges = placed.select("shard", "id", "x").groupBy("shard").applyInArrow(built, "a long, b long").distinct()
+        lists = staged(spark, edges.groupBy("a").agg(F.collect_list("b").alias("to")), "graph")
+        walked = placed.join(lists.withColumnRenamed("a", "id"), "id", "left")
 
     def searched(table: pa.Table) -> pa.Table:
         ids = table.column("id").to_numpy()
         order = np.argsort(ids)
         table, ids = table.take(pa.array(order)), ids[order]
         x = np.array(table.column("x").to_pylist())
-        lists = [np.array(to or [], np.int64) for to in table.column("to").to_pylist()]
-        local = [np.searchsorted(ids, to[np.isin(to, ids)]) for to in lists]
-        starts = np.concatenate([[0], np.cumsum([len(to) for to in local])])
-        flat = np.concatenate(local).astype(np.int64)
-        hit = np.concatenate([range_search(x, starts, flat, np.arange(at, min(at + 512, len(ids))), least, BEAM) for at in range(0, len(ids), 512)])
+        if overlap is None:
+            hit = np.concatenate([x[at:at + 512] @ x.T >= least for at in range(0, len(ids), 512)])
+            np.fill_diagonal(hit, False)
+        else:
+            lists = [np.array(to or [], np.int64) for to in table.column("to").to_pylist()]
+            local = [np.searchsorted(ids, to[np.isin(to, ids)]) for to in lists]
+            starts = np.concatenate([[0], np.cumsum([len(to) for to in local])])
+            flat = np.concatenate(local).astype(np.int64)
+            hit = np.concatenate([range_search(x, starts, flat, np.arange(at, min(at + 512, len(ids))), least, BEAM) for at in range(0, len(ids), 512)])
         hit |= hit.T
         low = parts_of(hit)
         # Pairs that share a lower shard are counted there; those of one part in the group of that part alone.
@@ -293,10 +323,11 @@ def audit_counts(spark: SparkSession, nodes: DataFrame, least: float, audit: int
 
 
 def audited(links: DataFrame, asked: DataFrame) -> float:
-    """Share of the links of the query nodes that was found."""
+    """Share of the links of the query nodes that was found, or the mean of the nodes' own shares if that is lower."""
     got = links.groupBy("a").agg(F.sum("n").alias("n"))
-    total, found = asked.join(got, "a", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("n", F.lit(0))))).first()
-    return found / total if total else 1.0
+    both = asked.filter(F.col("true") > 0).join(got, "a", "left").select("true", F.least("true", F.coalesce("n", F.lit(0))).alias("found"))
+    of_links, of_nodes = both.agg(F.sum("found") / F.sum("true"), F.avg(F.col("found") / F.col("true"))).first()
+    return 1.0 if of_links is None else min(of_links, of_nodes)
 
 
 def op7_embedding_near_dedup(spark: SparkSession, root: str) -> DataFrame:
