@@ -192,3 +192,23 @@ def test_audit_counts_nodes_not_links(spark):
     asked = spark.createDataFrame([(100, 98), (200, 1), (300, 1)], "a long, true long")
     links = spark.createDataFrame([(100, 98)], "a long, n long")
     assert abs(vectors.audited(links, asked) - 1 / 3) < 1e-9
+
+
+def test_lines_of_one_token_tabs_and_typos(spark, make):
+    """Lines without single spaces, and scattered typos, are found wherever they differ."""
+    rng = np.random.default_rng(13)
+    letters = list("abcdefghijklmnopqrstuvwxyz0123456789")
+
+    def word(n):
+        return "".join(rng.choice(letters, n))
+
+    bases = ["https://w" + word(91) for _ in range(40)] + ["\t".join(word(6) for _ in range(15)) for _ in range(40)]
+    bases += ["".join(chr(c) for c in rng.integers(0x1780, 0x17B3, 100)) for _ in range(40)] + [" ".join(word(6) for _ in range(15)) for _ in range(40)]
+    rows = []
+    for k, base in enumerate(bases):
+        at = 4 if k % 4 else 50  # an edit among the first characters, or in the middle
+        rows += [(2 * k, base), (2 * k + 1, base[:at] + "#" + base[at + 1:])]
+    got = {r.doc_id: r.n_removed for r in lines.dedup_lines(spark, make(rows)).collect()}
+    assert not any(got[2 * k] for k in range(len(bases)))
+    for kind in range(4):
+        assert sum(got[2 * k + 1] for k in range(40 * kind, 40 * kind + 40)) >= 39
