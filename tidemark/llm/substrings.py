@@ -5,6 +5,7 @@ anchor, which depends on the window's content alone: equal windows have equal an
 offsets. So windows of different anchors need never be compared. What reaches a suffix array
 is one copy of each different context (the windows of one anchor occurrence) of anchors that
 have several contexts; occurrences whose whole context repeats an earlier one are settled by it.
+Anchors with very many different contexts are dealt on by the windows' own content.
 """
 
 from __future__ import annotations
@@ -14,13 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, mix64, staged, text_or_empty
+from tidemark.llm.common import documents, join_counted, mix64, staged, text_or_empty
 from tidemark.llm.suffixes import common_prefixes, suffix_array
 
 LENGTH, GRAM = 100, 24
 MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 BASE = 0x9E3779B97F4A7C15
 SHARD_BYTES = 2 << 20
+HOT = 10_000  # an anchor with more different contexts, of up to 176 bytes, goes to no suffix array
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
@@ -211,15 +213,54 @@ def compare(batches):
         yield solve(held)
 
 
+def window_rows(near: DataFrame) -> DataFrame:
+    """key (anchor and hash of the LENGTH bytes), doc, at: every window of the contexts."""
+    def run(batches):
+        for batch in batches:
+            found = batch.column("context").to_pylist()
+            if not found:
+                continue
+            lengths = np.array([len(c) for c in found])
+            code = gram_hashes(np.frombuffer(b"".join(found), np.uint8), LENGTH).view(np.int64)
+            n = lengths - LENGTH + 1
+            row = np.repeat(np.arange(len(found)), n)
+            offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            h, doc, place = (batch.column(c).to_numpy()[row] for c in ("hash", "doc", "place"))
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(code[(np.cumsum(lengths) - lengths)[row] + offset]), pa.array(doc), pa.array(place // 128 + offset)],
+                                             names=["hash", "code", "doc", "at"])
+
+    return near.mapInArrow(run, "hash long, code long, doc long, at long").select(F.struct("hash", "code").alias("key"), "doc", "at")
+
+
+def hot_runs(spark: SparkSession, near: DataFrame) -> DataFrame:
+    """Runs (one window each) of contexts of hot anchors: the earliest place of each window's content is found before the
+    exchange in each task, and no task gets all contexts of an anchor."""
+    windows = staged(spark, window_rows(near), "windows")
+    low = windows.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc", "at")).alias("first")).filter("n > 1")
+    again = join_counted(windows, staged(spark, low, "first"), "key", windows.count()).filter(F.struct("doc", "at") != F.col("first"))
+    return again.select("doc", F.col("at").alias("begin"), F.col("at").alias("end"))
+
+
+def divided(spark: SparkSession, asked: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Contexts of anchors with up to HOT of them, and those of the others, if there are any."""
+    hot = staged(spark, asked.groupBy("hash").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("hash"), "hot")  # a HOT-th of the rows at most
+    if hot.isEmpty():
+        return asked, None
+    return asked.join(F.broadcast(hot), "hash", "left_anti"), asked.join(F.broadcast(hot), "hash", "left_semi")
+
+
 def repeated_runs(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc, begin, end: window starts from begin to end whose LENGTH bytes also start earlier in the corpus."""
     parts = spark.conf.get("spark.sql.shuffle.partitions")
     rows = anchor_rows(docs).repartition(int(parts), "hash").sortWithinPartitions("hash", "code", "doc", "place")
     settled = staged(spark, rows.mapInArrow(settle, "hash long, doc long, place long, whole boolean"), "settled")
     whole = settled.filter("whole").select("doc", F.expr("place div 128").alias("begin"), F.expr("place div 128 + place % 128").alias("end"))
-    near = contexts(settled.filter("not whole").select("hash", "doc", "place"), docs)
+    cold, hot = divided(spark, settled.filter("not whole").select("hash", "doc", "place"))
+    near = contexts(cold, docs)
     near = near.repartition(int(parts), "hash").sortWithinPartitions("hash", "doc", "place").mapInArrow(
         compare, "doc long, begin long, end long")
+    if hot is not None:
+        near = near.unionByName(hot_runs(spark, contexts(hot, docs)))
     return staged(spark, whole.unionByName(near), "runs")
 
 
