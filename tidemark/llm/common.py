@@ -6,6 +6,7 @@ neither disturb it nor reach its result. Rows that repeat a ``doc_id`` are one d
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -17,6 +18,7 @@ from tidemark.session import fresh_path
 # Keys with at least this share of all rows are joined by broadcast: they are at most 1 / share.
 HOT_SHARE = 1e-3
 CUT = 1 << 20
+SPACE = re.compile(rb"[\t-\r ]")
 ONE_TASK = 200_000
 
 
@@ -63,13 +65,16 @@ def blocks(texts: Iterable[bytes], size: int) -> Iterator[list[tuple[int, bytes]
 
 
 def cuts(raw: bytes):
-    """Blocks of a text, cut at white space where there is any."""
+    """Blocks of a text of about CUT bytes, cut at white space only: a longer word stays whole."""
     at = 0
     while at < len(raw):
         end = at + CUT
         if end < len(raw):
-            space = max(raw.rfind(b" ", at + 1, end), raw.rfind(b"\n", at + 1, end))
-            end = space if space > at else end
+            space = max(raw.rfind(c, at + 1, end) for c in b"\t\n\v\f\r ")
+            if space < 0:
+                later = SPACE.search(raw, end)
+                space = later.start() if later else len(raw)
+            end = space
         yield raw[at:end]
         at = end
 
