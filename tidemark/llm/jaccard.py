@@ -79,12 +79,12 @@ def sketch_keys(members: np.ndarray, percent: int) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, size, fp (set fingerprint), sketch and keys; keys only where the task first meets a set."""
+    """doc_id, size, fp (set fingerprint), sketch and keys; keys only where the task first meets a set on a row with a doc_id."""
     def run(batches):
         memo, met = _WordHashes(), set()
         for batch in batches:
             rows = []
-            for text in batch.column("text").to_pylist():
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 s = shingles(text, width, memo)
                 if not len(s):
                     rows.append((0, 0, b"", []))
@@ -94,8 +94,9 @@ def sketched(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 if len(met) > 1 << 20:
                     met.clear()
                 rows.append((len(s), fp, np.packbits(fold.astype(np.uint8)).tobytes(),
-                             [] if fp in met else sketch_keys(s, percent).view(np.int64)))
-                met.add(fp)
+                             [] if doc is None or fp in met else sketch_keys(s, percent).view(np.int64)))
+                if doc is not None:
+                    met.add(fp)
             size, fp, sketch, keys = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(fp, pa.int64()), pa.array(sketch, pa.binary()),
