@@ -94,25 +94,27 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(spark: SparkSession, docs: DataFrame, share: float = 2e-5, rival: float = 8.0, max_languages: int = 64,
+def train(spark: SparkSession, docs: DataFrame, share: float = 2e-5, rival: float = 8.0,
           slots_log2: int = 20) -> LanguageFilter | None:
     """Filter of the n-grams that make up ``share`` of a language's n-grams or more.
 
     At most 1 / share n-grams a language pass, and an n-gram that is ``rival`` times as frequent
-    in another language is left out: quoted foreign text. With more than ``max_languages``
-    values the most frequent ones are learned. None if there is nothing to learn from.
+    in another language is left out: quoted foreign text. Every value of ``lang`` is learned:
+    the filter takes 1 / 8 of 2**slots_log2 bytes a language, its n-grams at most 8 / share bytes.
+    None if there is nothing to learn from.
     """
     counted = staged(spark, gram_counts(docs.filter("text is not null and lang is not null").select("text", "lang")), "grams")
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "lang").limit(max_languages).collect()
+    totals = counted.groupBy("lang").agg(F.sum("n").alias("total")).collect()
     if not totals:
         return None
     table = spark.createDataFrame([(r.lang, r.total) for r in totals], "lang string, total long")
     frequent = (counted.join(F.broadcast(table), "lang").withColumn("share", F.col("n") / F.col("total"))
-                .filter(F.col("share") >= share).select("lang", "gram", "share").toPandas())
-    frequent["best"] = frequent.groupby("gram")["share"].transform("max")
-    frequent = frequent[frequent.share * rival >= frequent.best]
+                .filter(F.col("share") >= share).select("lang", "gram", "share"))
+    best = frequent.groupBy("gram").agg(F.max("share").alias("best"))
+    own = frequent.join(best, "gram").filter(F.col("share") * rival >= F.col("best")).groupBy("lang").agg(F.collect_list("gram").alias("grams"))
     languages = sorted(r.lang for r in totals)
-    grams = {at: frequent.gram[frequent.lang == lang].to_numpy().astype(np.uint64) for at, lang in enumerate(languages)}
+    place = {lang: at for at, lang in enumerate(languages)}
+    grams = {place[r.lang]: np.array(r.grams, np.int64).astype(np.uint64) for r in own.toLocalIterator()}
     return LanguageFilter(languages, grams, slots_log2)
 
 
