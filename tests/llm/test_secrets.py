@@ -85,10 +85,10 @@ def test_findings(spark, make, rows):
 
 
 def test_query(spark):
-    root = "/root/testdata/sf0.001"
+    root = "/root/testdata/sf0.01"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{root}/documents.parquet").collect()}
     got = secrets.op11_secret_scan(spark, root).collect()
-    assert sorted(r.doc_id for r in got) == sorted(texts)
+    assert sorted(r.doc_id for r in got) == sorted(texts) and sum(r.n_assign for r in got) > 5 < sum(r.n_hex for r in got)
     for r in got:
         base = plain_base(texts[r.doc_id] or "")
         kinds = [s.split(":")[0] for s in base.split(",")]

@@ -284,11 +284,15 @@ def findings(guess: GuessCost, text: str, threshold: float) -> list[tuple[str, i
 def op11_secret_scan(spark: SparkSession, root: str) -> DataFrame:
     docs = documents(spark, root)
     found = find_secrets(spark, docs, learn_words(spark, docs))
-    base = F.filter("findings", lambda f: f["kind"] != "guess")
+
+    def of(kinds):
+        return F.filter("findings", lambda f: f["kind"].isin(*kinds))
+
+    def count(kind):
+        return F.size(of([kind])).cast("long").alias(f"n_{kind}")
 
     def shown(spans):
         return F.array_join(F.transform(spans, lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("findings", lambda f, k=k: f["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
-    return found.select("doc_id", *counts, F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("findings")).alias("spans"),
-                        F.size(F.filter("findings", lambda f: f["kind"] == "guess")).cast("long").alias("n_guess"))
+    return found.select("doc_id", *map(count, BASE), F.sha2(shown(of(BASE)), 256).alias("base_sha256"),
+                        shown(F.col("findings")).alias("spans"), count("guess"))
