@@ -87,6 +87,13 @@ FROM (SELECT unnest(['orders', 'order_items']) AS t), (SELECT unnest(['c', 'u',
 LEFT JOIN (SELECT 'orders' AS t2, cdc_op, count(*) AS n FROM o_log GROUP BY cdc_op
            UNION ALL SELECT 'order_items', cdc_op, count(*) FROM i_log GROUP BY cdc_op) c
   ON c.t2 = t AND c.cdc_op = ops.op""")
+add("p05_bad_events", """
+SELECT CASE WHEN id % 11 = 0 THEN 'not json' WHEN id % 13 = 0 THEN 'no image' ELSE 'missing user_id' END AS reason,
+       CASE WHEN id % 11 = 0 THEN 'broken ' || id WHEN id % 13 = 0 THEN '{"op":"u","after":null,"ts_ms":' || id || '}' END AS event,
+       CASE WHEN id % 11 <> 0 AND id % 13 <> 0 THEN id END AS id,
+       CASE WHEN id % 11 <> 0 AND id % 13 <> 0 THEN status END AS status,
+       CASE WHEN id % 11 = 0 THEN NULL WHEN id % 13 = 0 THEN id ELSE cdc_ts_ms END AS cdc_ts_ms
+FROM o_log WHERE id % 11 = 0 OR id % 13 = 0 OR id % 17 = 0""")
 add("p04_fan_out", """
 SELECT 'orders' AS table_name, count(*) AS record_count FROM o_log
 UNION ALL SELECT 'order_items', count(*) FROM i_log""")
@@ -105,7 +112,7 @@ SELECT CASE cdc_op WHEN 'u' THEN 'UPDATE' WHEN 'd' THEN 'DELETE' ELSE 'INSERT' E
 # --- versions and row views -------------------------------------------------
 
 add("v01_current_orders", "SELECT * FROM o")
-for name in ("v01_current_items", "v02_merge_changes", "v02_compacted_snapshot"):
+for name in ("v01_current_items", "v02_merge_changes", "v02_compacted_snapshot", "v02_compacted_changes"):
     add(name, "SELECT * FROM i")
 
 LINES = """
@@ -122,7 +129,8 @@ DAILY_VIEW = f"daily_view AS (SELECT *, {r4('total_revenue', 'total_quantity')}
 add("v03_product_daily_all_versions", DAILY_SELECT + """
 FROM (SELECT i.*, o.user_id FROM i_log i JOIN o_log o ON o.id = i.order_id
       WHERE i.cdc_op <> 'd' AND o.cdc_op <> 'd' AND o.status <> 'CANCELLED') GROUP BY 1, 2""")
-add("v09_retained_months", "SELECT id, created_at FROM o WHERE created_at >= TIMESTAMP '2001-02-01'")
+for name in ("v09_retained_months", "v09_removed_months"):
+    add(name, "SELECT id, created_at FROM o WHERE created_at >= TIMESTAMP '2001-02-01'")
 add("v09_expired_months", """
 SELECT CAST(year(created_at) * 100 + month(created_at) AS BIGINT) AS yyyymm, count(*) AS row_count
 FROM o WHERE created_at < TIMESTAMP '2001-02-01' GROUP BY 1""")
@@ -173,6 +181,7 @@ SELECT id, CASE status WHEN 'PENDING' THEN '대기중' WHEN 'PROCESSING' THEN '
 # --- rollups ------------------------------------------------------------------
 
 add("q01_product_daily", "SELECT * FROM daily", LINES, DAILY)
+add("j11_kept_product_daily", "SELECT * FROM daily", LINES, DAILY)
 add("s18_backfilled_rollup", "SELECT * FROM daily", LINES, DAILY)
 add("d08_touched_keys_refresh", "SELECT * FROM daily", LINES, DAILY)
 add("q01_product_daily_active", DAILY_SELECT + """
@@ -210,6 +219,7 @@ seg_view AS (
   FROM seg)"""
 add("q03_customer_segments", "SELECT * FROM seg", segments(False))
 add("d08_touched_customers_refresh", "SELECT * FROM seg", segments(False))
+add("j11_kept_customer_segments", "SELECT * FROM seg", segments(False))
 add("q03_customer_segments_literal", "SELECT * FROM seg", segments(True))
 add("q04_customer_segments_view", "SELECT * FROM seg_view", segments(False), SEG_VIEW)
 add("q04_customer_segments_view_literal", "SELECT * FROM seg_view", segments(True), SEG_VIEW)
@@ -227,6 +237,7 @@ def hourly(items: str, orders: str, keys: str, name: str = "") -> str:
 
 add("q05_hourly_sales", hourly("ei", "eo", "i.product_id", "min(i.product_name) AS product_name,"))
 add("q05_hourly_sales_view", hourly("ei", "eo", "i.product_name"))
+add("j11_kept_hourly_sales", hourly("i", "o", "i.product_id", "min(i.product_name) AS product_name,"))
 add("q05_hourly_sales_view_lineitem", hourly("i", "o", "i.product_name"))
 CART = f"""
 cart AS (
@@ -234,7 +245,7 @@ cart AS (
          count(*) FILTER (WHERE status = 'COMPLETED') AS completed_orders
   FROM o WHERE cdc_op <> 'd' GROUP BY 1),
 cart_view AS (SELECT *, {r4('completed_orders', 'total_orders', 100)} AS completion_rate FROM cart WHERE total_orders > 0)"""
-for name in ("q06_cart_analytics_view", "d08_touched_days_refresh"):
+for name in ("q06_cart_analytics_view", "d08_touched_days_refresh", "j11_kept_cart_analytics"):
     add(name, "SELECT * FROM cart_view", CART)
 for name in ("v05_distinct_orders_rows", "v05_distinct_orders_bitmaps"):
     add(name, "SELECT user_id, count(DISTINCT id) AS total_orders FROM o GROUP BY user_id")
@@ -468,6 +479,10 @@ add("q28_order_page", """
 SELECT p.id, user_id, status, total_amount, created_at, coalesce(items, '') AS items,
        (SELECT count(*) FROM o WHERE deleted_at IS NULL AND status = 'COMPLETED') AS total, 3 AS page, 10 AS "limit",
        CAST(ceil((SELECT count(*) FROM o WHERE deleted_at IS NULL AND status = 'COMPLETED') / 10.0) AS BIGINT) AS total_pages
+FROM (SELECT * FROM o WHERE deleted_at IS NULL AND status = 'COMPLETED'
+      ORDER BY created_at DESC, id DESC LIMIT 10 OFFSET 20) p LEFT JOIN texts ON texts.order_id = p.id""", ITEM_TEXT)
+add("o03_order_page_after", """
+SELECT p.id, user_id, status, total_amount, created_at, coalesce(items, '') AS items
 FROM (SELECT * FROM o WHERE deleted_at IS NULL AND status = 'COMPLETED'
       ORDER BY created_at DESC, id DESC LIMIT 10 OFFSET 20) p LEFT JOIN texts ON texts.order_id = p.id""", ITEM_TEXT)
 add("q29_user_orders", """
@@ -485,7 +500,8 @@ FROM {orders} WHERE cdc_op <> 'd' GROUP BY 1, 2"""
 add("q30_status_daily", by_status("o", "CAST(created_at AS DATE)", "sale_date"))
 add("q31_status_hourly", by_status("eo", "date_trunc('hour', created_at)", "order_hour"))
 add("q31_status_hourly_merged", by_status("eo", "date_trunc('hour', created_at)", "order_hour"))
-add("q32_daily_revenue_week", f"""
+for name in ("q32_daily_revenue_week", "p19_daily_revenue_by_months"):
+    add(name, f"""
 SELECT CAST(created_at AS DATE) AS order_date, count(*) AS orders, {money('sum(total_amount)')} AS revenue
 FROM o WHERE created_at BETWEEN {AS_OF} - INTERVAL 7 DAY AND {AS_OF} AND cdc_op <> 'd' GROUP BY 1""")
 add("q33_order_summaries", f"""
@@ -530,7 +546,11 @@ add("k01_count_reconciliation", """
 SELECT s AS source_rows, t AS target_rows, s - t AS difference,
        CASE WHEN s - t = 0 THEN 'consistent' WHEN abs(s - t) <= 10 THEN 'minor' ELSE 'severe' END AS verdict
 FROM (SELECT (SELECT count(*) FROM orders) AS s, (SELECT count(*) FROM o WHERE cdc_op <> 'd') AS t)""")
-add("k01_row_reconciliation", "SELECT id, 'missing' AS issue FROM o WHERE cdc_op = 'd'")
+add("k01_row_reconciliation", """
+SELECT id, CASE WHEN id % 29 = 0 THEN 'missing' WHEN id % 37 = 0 OR id % 43 = 0 THEN 'different' ELSE 'duplicate' END AS issue,
+       CAST(1 AS BIGINT) AS source_rows, CAST(CASE WHEN id % 29 = 0 THEN 0 WHEN id % 31 = 0 THEN 2 ELSE 1 END AS BIGINT) AS target_rows
+FROM o WHERE cdc_op <> 'd' AND (id % 29 = 0 OR id % 31 = 0 OR id % 37 = 0 OR id % 43 = 0)
+UNION ALL SELECT id + 1000000000, 'surplus', 0, 1 FROM o WHERE cdc_op <> 'd' AND id % 41 = 0""")
 add("k02_duplicate_ids", "SELECT id, count(*) AS row_count FROM i_log GROUP BY id HAVING count(*) > 1")
 TOTALS = f"""
 totals AS (
@@ -584,5 +604,8 @@ SELECT fault, count(*) AS row_count FROM (
   UNION ALL SELECT 'unknown status' FROM o WHERE status NOT IN ('PENDING', 'PROCESSING', 'COMPLETED', 'CANCELLED'))
 WHERE fault IS NOT NULL GROUP BY fault""")
 add("k11_deletable_users", "SELECT id, username FROM usr WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.user_id = usr.id)")
+add("k11_users_without_recent_orders", f"""
+SELECT id, username FROM usr WHERE NOT EXISTS (
+  SELECT 1 FROM o WHERE o.user_id = usr.id AND created_at BETWEEN {AS_OF} - INTERVAL 30 DAY AND {AS_OF})""")
 add("k11_blocked_users", """
 SELECT usr.id, username, count(*) AS order_count FROM usr JOIN o ON o.user_id = usr.id GROUP BY ALL""")

@@ -15,11 +15,11 @@ from tidemark.functions import calendar as cal
 from tidemark.functions.money import money_text, op_label, status_label, time_text
 from tidemark.operators import dedup, partials, parsing, routing, versions
 from tidemark.plans import baskets, quality, reports, rollups, service
-from tidemark.schemas import ORDER_STATUSES, ORDERS, ORDERS_LOG
+from tidemark.schemas import ORDER_ITEMS, ORDER_STATUSES, ORDERS, ORDERS_LOG
 from tidemark.session import adopt, fresh_path
 from tidemark.sources import envelopes, readers, writers
 from tidemark.sources import sample_tables as st
-from tidemark.streaming import jobs
+from tidemark.streaming import jobs, kept
 
 AS_OF, EVENTS_AS_OF = st.AS_OF, st.EVENTS_AS_OF
 QUERIES = {}
@@ -162,6 +162,19 @@ def v02_compacted_snapshot(spark, root):
     return versions.read_snapshot(spark, out).drop("yyyymm")
 
 
+@query
+def v02_compacted_changes(spark, root):
+    """Current rows by month, brought up to date with two rounds of changes: some rows move to another month, some come again."""
+    path, log = fresh_path(spark, "items-by-month"), st.items_log(spark, root)
+    key = F.col("id")
+    first = log.withColumns({"created_at": F.when(key % 7 == 0, F.col("created_at") - F.expr("INTERVAL 90 DAY")).otherwise(F.col("created_at")),
+                             "cdc_ts_ms": F.col("cdc_ts_ms") - 1})
+    versions.write_by_month(versions.latest(first, ties=("product_id",)), path)
+    versions.compact_changes(spark, path, log, ties=("product_id",))
+    versions.compact_changes(spark, path, first.filter(key % 3 == 0), ties=("product_id",))
+    return spark.read.parquet(path).drop("yyyymm")
+
+
 @query
 def v03_product_daily_all_versions(spark, root):
     return rollups.product_daily(st.items_log(spark, root), st.orders_log(spark, root))
@@ -177,6 +190,15 @@ def v09_expired_months(spark, root):
     return versions.expired_months(st.orders(spark, root), AS_OF, 6)
 
 
+@query
+def v09_removed_months(spark, root):
+    """A written table without its expired months; no file of the others is touched."""
+    path = fresh_path(spark, "orders-by-month")
+    versions.write_by_month(st.orders(spark, root), path)
+    versions.remove_expired_months(spark, path, AS_OF, 6)
+    return spark.read.parquet(path).select("id", "created_at")
+
+
 @query
 def v10_purged_orders(spark, root):
     return versions.purge_soft_deleted(st.orders(spark, root), AS_OF, 6).select("id", "deleted_at")
@@ -623,6 +645,16 @@ def q28_order_page(spark, root):
     return _item_text(service.order_page(st.orders(spark, root), st.items(spark, root), status="COMPLETED", page=3))
 
 
+@query
+def o03_order_page_after(spark, root):
+    """The third page again, sought from the last order of the second one in a table kept by month."""
+    path = fresh_path(spark, "orders-by-month")
+    versions.write_by_month(st.orders(spark, root), path)
+    orders, items = spark.read.parquet(path), st.items(spark, root)
+    last = service.order_page_after(orders, items, None, status="COMPLETED", limit=20).orderBy("created_at", "id").first()
+    return _item_text(service.order_page_after(orders, items, (last.created_at, last.id), status="COMPLETED"))
+
+
 @query
 def q29_user_orders(spark, root):
     return _item_text(service.user_orders(st.orders(spark, root), st.items(spark, root)))
@@ -649,6 +681,14 @@ def q32_daily_revenue_week(spark, root):
     return reports.daily_revenue_week(st.orders(spark, root), AS_OF)
 
 
+@query
+def p19_daily_revenue_by_months(spark, root):
+    """The same from a table kept by month: only the months of the period are read."""
+    path = fresh_path(spark, "orders-by-month")
+    versions.write_by_month(st.orders(spark, root), path)
+    return reports.daily_revenue_week(spark.read.parquet(path), AS_OF)
+
+
 @query
 def q33_order_summaries(spark, root):
     return reports.order_summaries(st.orders(spark, root), st.items(spark, root))
@@ -709,9 +749,19 @@ def k01_count_reconciliation(spark, root):
 
 @query
 def k01_row_reconciliation(spark, root):
-    log = st.orders_log(spark, root)
-    current = versions.latest(parsing.order_rows(envelopes.order_envelopes(log)))
-    return quality.row_reconciliation(log, current, ["user_id", "status", "total_amount", "created_at"])
+    """A target that lacks rows, holds some twice, has others that differ, shifted NULLs and rows of its own; deletes on both sides."""
+    source = st.orders(spark, root)
+    key = F.col("id")
+    target = versions.latest(parsing.order_rows(envelopes.order_envelopes(st.orders_log(spark, root)))).filter(
+        (key % 29 != 0) | ~versions.not_deleted())
+    shifted = key % 43 == 0
+    target = target.withColumns({
+        "status": F.when(key % 37 == 0, "LOST").otherwise(F.col("status")),
+        "deleted_at": F.when(shifted, F.col("updated_at")).otherwise(F.col("deleted_at")),
+        "updated_at": F.when(~shifted, F.col("updated_at"))})
+    target = (target.unionByName(target.filter("id % 31 = 0"))
+              .unionByName(source.filter("id % 41 = 0").withColumn("id", key + 1_000_000_000)))
+    return quality.row_reconciliation(source, target, ["user_id", "status", "total_amount", "created_at", "updated_at", "deleted_at"])
 
 
 @query
@@ -785,6 +835,12 @@ def k11_deletable_users(spark, root):
     return quality.deletable_users(st.users(spark, root), st.orders(spark, root))
 
 
+@query
+def k11_users_without_recent_orders(spark, root):
+    """Users that no order of the last 30 days refers to."""
+    return quality.deletable_users(st.users(spark, root), cal.rows_since(st.orders(spark, root), AS_OF, "30 DAY"))
+
+
 @query
 def k11_blocked_users(spark, root):
     return quality.blocked_users(st.users(spark, root), st.orders(spark, root))
@@ -832,3 +888,71 @@ def d01_stream_first_seen(spark, root):
     jobs.drain(jobs.sync(_topic(spark, base, "orders"), "orders", base, every="5 seconds", mode="first_seen",
                          state_partitions=8))
     return writers.read_log(spark, f"{base}/orders", ORDERS_LOG).select("id", "cdc_ts_ms")
+
+
+@query
+def p05_bad_events(spark, root):
+    """A topic with broken lines, events without an image and rows without a buyer, synced; what was set aside and why."""
+    base, key = fresh_path(spark, "stream-bad"), F.col("id")
+    log = st.orders_log(spark, root)
+    broken = F.when(key % 11 == 0, F.concat(F.lit("broken "), key)).otherwise(
+        F.concat(F.lit('{"op":"u","after":null,"ts_ms":'), key, F.lit("}")))
+    bad = log.filter("id % 11 = 0 OR id % 13 = 0").select(broken.alias("value"))
+    rest = log.filter("id % 11 <> 0 AND id % 13 <> 0").withColumn("user_id", F.when(key % 17 != 0, F.col("user_id")))
+    bad.unionByName(envelopes.order_envelopes(rest)).write.text(f"{base}/topics/orders-cdc")
+    stream = readers.change_stream(spark, "orders-cdc", path=f"{base}/topics")
+    jobs.sync(stream, "orders", base, every=None, state_partitions=8).awaitTermination()
+    return jobs.rejected_events(spark, base, "orders").select("reason", "event", "id", "status", "cdc_ts_ms")
+
+
+# --- rollups kept by a stream -----------------------------------------------------
+
+def _history(spark, root) -> list[DataFrame]:
+    """Event texts in the order in which a topic gets them: every row as it was first, with other values and every fifth
+    item in another order, then as it is in the log, then some of the first ones again."""
+    orders, items = st.orders_log(spark, root), st.items_log(spark, root)
+    earlier = F.col("cdc_ts_ms") - 2000
+    first_orders = orders.withColumns({"status": F.lit("PENDING"), "cdc_op": F.lit("c"), "cdc_ts_ms": earlier,
+                                       "user_id": F.col("user_id") + (F.col("id") % 3), "total_amount": F.lit("1.50").cast("decimal(10,2)"),
+                                       "created_at": F.col("created_at") - F.expr("INTERVAL 3 DAY")})
+    moved = (F.col("id") % 5 == 0) & (F.col("cdc_op") == "u")
+    items = items.withColumn("former", F.when(moved, F.col("order_id") + 1).otherwise(F.col("order_id")))
+    first_items = items.withColumns({"order_id": F.col("former"), "cdc_op": F.lit("c"), "cdc_ts_ms": earlier,
+                                     "quantity": F.lit(1), "created_at": F.col("created_at") - F.expr("INTERVAL 30 HOUR")})
+
+    def texts(order_rows, item_rows):
+        return envelopes.order_envelopes(order_rows).unionByName(envelopes.to_envelopes(
+            item_rows, "order_items", ORDER_ITEMS, pos=F.col("product_id"), former={"order_id": "former"}))
+
+    again = F.col("id") % 4 == 0
+    return [texts(first_orders, first_items), texts(orders, items), texts(first_orders.filter(again), first_items.filter(again))]
+
+
+def _kept(spark, root) -> str:
+    """The folder of rollups that a stream kept over the whole history, a batch for each of its parts."""
+    base, files = fresh_path(spark, "kept"), 8
+    for part in _history(spark, root):
+        part.repartition(files).write.mode("append").text(f"{base}/topics/changes")
+    events = readers.change_stream(spark, "changes", path=f"{base}/topics", max_files_per_trigger=files)
+    kept.keep(events, base, every=None).awaitTermination()
+    return base
+
+
+@query
+def j11_kept_product_daily(spark, root):
+    return kept.product_daily(spark, _kept(spark, root))
+
+
+@query
+def j11_kept_customer_segments(spark, root):
+    return kept.customer_segments(spark, _kept(spark, root))
+
+
+@query
+def j11_kept_hourly_sales(spark, root):
+    return rollups.hourly_sales(kept.hourly_state(spark, _kept(spark, root)))
+
+
+@query
+def j11_kept_cart_analytics(spark, root):
+    return rollups.cart_analytics_view(kept.cart_analytics(spark, _kept(spark, root)))

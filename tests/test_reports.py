@@ -158,3 +158,25 @@ def test_refresh_of_touched_keys_equals_recompute(spark, seed_orders, seed_items
     got = rollups.apply_refresh(old, seed_items, cancelled, seed_orders.filter("id = 5"), stale)
     want = rollups.product_daily(seed_items, cancelled)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_an_order_of_three_thousand_names_is_never_paired(spark, monkeypatch):
+    """Fewer pairs than asked for: the big order is looked up for pairs of the small ones, and not paired itself."""
+    sizes = {}
+    stage = baskets.staged
+
+    def counting(rows, label):
+        out = stage(rows, label)
+        sizes[label] = sizes.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(baskets, "staged", counting)
+    at = datetime(2025, 1, 20)
+    lines = [(1, f"p{n}") for n in range(3000)]
+    lines += [(2 + 2 * n + m, f"p{n}") for n in range(3000) for m in range(2)]
+    lines += [(order, name) for order in (9001, 9002) for name in ("p7", "p8", "p9")]
+    frame = spark.createDataFrame([(i, order, 1, name, 1, Decimal(1), Decimal(2), at, at, None, "c", 1) for i, (order, name) in enumerate(lines)], ORDER_ITEMS_LOG)
+    for pairs in (baskets.bought_together, baskets.bought_together_unordered):
+        got = {(r.product_a, r.product_b, r.co_purchase_count) for r in pairs(frame, "2025-01-31 00:00:00").collect()}
+        assert got == {("p7", "p8", 3), ("p7", "p9", 3), ("p8", "p9", 3)}
+    assert sizes["basket-pairs"] < 100

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -33,6 +33,30 @@ def on_day(ts: Column, as_of) -> Column:
     return (ts >= start.cast("timestamp")) & (ts < F.date_add(start, 1).cast("timestamp"))
 
 
+def _in_months(rows: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Of a table kept by month, only the folders from the one of ``first`` to that of ``last``: bounds are constants, so the scan prunes."""
+    if "yyyymm" not in rows.columns:
+        return rows
+    return rows.filter(F.col("yyyymm").between(yyyymm(first), yyyymm(last)))
+
+
+def rows_since(rows: DataFrame, as_of, interval: str, column: str = "created_at") -> DataFrame:
+    """The rows :func:`since` keeps; a table with a ``yyyymm`` of ``column`` is read from the months in question."""
+    now = moment(as_of)
+    return _in_months(rows, now - F.expr(f"INTERVAL {interval}"), now).filter(since(F.col(column), as_of, interval))
+
+
+def rows_of_days(rows: DataFrame, as_of, days: int, column: str) -> DataFrame:
+    """The rows :func:`days_back` keeps, read from the months in question."""
+    today = day_of(as_of)
+    return _in_months(rows, F.date_sub(today, days), today).filter(days_back(F.col(column), as_of, days))
+
+
+def rows_on_day(rows: DataFrame, as_of, column: str = "created_at") -> DataFrame:
+    """The rows :func:`on_day` keeps, read from its month."""
+    return _in_months(rows, day_of(as_of), day_of(as_of)).filter(on_day(F.col(column), as_of))
+
+
 def start_of_hour(ts: Column) -> Column:
     return F.date_trunc("hour", ts)
 

@@ -76,18 +76,42 @@ def _typed(field: T.StructField, numbers: Column) -> Column:
     return out.alias(field.name)
 
 
-def typed_rows(events: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
-    """Typed log rows of every event that has an image.
+def _reason(schema: T.StructType) -> Column:
+    """Why an event gives no row; NULL if it gives one."""
+    not_json = F.when(F.get_json_object("value", "$").isNull(), "not json").otherwise("no image")
+    return F.when(~F.coalesce(_has_image(schema), F.lit(False)), not_json)
 
-    ``keep`` names further columns: of ``events``, or ``source_file``/``source_pos``.
-    """
+
+def _columns(schema: T.StructType, keep: Sequence[str]) -> list[Column]:
     numbers = F.from_json("value", _numbers(schema))
     known = {"source_file": F.col("source.file").alias("source_file"),
              "source_pos": coerce.to_long(F.col("source.pos"), numbers["source"]["pos"]).alias("source_pos")}
-    return _imaged(events, schema).filter(_has_image(schema)).select(
-        *[_typed(f, numbers) for f in schema], F.col("op").alias("cdc_op"),
-        coerce.to_long(F.col("ts_ms"), numbers["ts_ms"]).alias("cdc_ts_ms"),
-        *[known.get(k, F.col(k)) for k in keep])
+    if "order_id" in schema.names:
+        known["former_order_id"] = coerce.to_long(F.col("before.order_id"), numbers["before"]["order_id"]).alias("former_order_id")
+    return [*[_typed(f, numbers) for f in schema], F.col("op").alias("cdc_op"),
+            coerce.to_long(F.col("ts_ms"), numbers["ts_ms"]).alias("cdc_ts_ms"),
+            *[known[k] if k in known else F.col(k) for k in keep]]
+
+
+def typed_rows(events: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed log rows of every event that has an image.
+
+    ``keep`` names further columns: of ``events``, ``source_file``/``source_pos``, or ``former_order_id``,
+    the order an item belonged to before the change.
+    """
+    return _imaged(events, schema).filter(_has_image(schema)).select(*_columns(schema, keep))
+
+
+def all_rows(events: DataFrame, schema: T.StructType, required: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """:func:`typed_rows` and the events that give none, in one pass.
+
+    ``reason`` says why a row may not enter the log: ``not json``, ``no image``, or ``missing`` and the
+    required columns it lacks; NULL for the others. ``event`` is the text of an event without an image.
+    """
+    rows = _imaged(events, schema).withColumn("_reason", _reason(schema))
+    rows = rows.select(*_columns(schema, keep), "_reason", F.when(F.col("_reason").isNotNull(), F.col("value")).alias("event"))
+    lacking = F.concat_ws(" ", F.lit("missing"), *[F.when(F.col(name).isNull(), F.lit(name)) for name in required])
+    return rows.withColumn("reason", F.coalesce("_reason", F.when(~complete(required), lacking))).drop("_reason")
 
 
 def order_rows(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -100,9 +124,7 @@ def item_rows(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def bad_events(events: DataFrame, schema: T.StructType) -> DataFrame:
     """Events that give no row, with the reason."""
-    reason = F.when(F.get_json_object("value", "$").isNull(), "not json").otherwise("no image")
-    return (_imaged(events, schema).filter(~F.coalesce(_has_image(schema), F.lit(False)))
-            .select("value", reason.alias("reason")))
+    return _imaged(events, schema).withColumn("reason", _reason(schema)).filter("reason IS NOT NULL").select("value", "reason")
 
 
 def complete(required: Sequence[str]) -> Column:

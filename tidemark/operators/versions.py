@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
+from tidemark.operators.staging import staged
 
 
 def not_deleted(prefix: str = "") -> Column:
@@ -105,6 +106,81 @@ def write_by_month(rows: DataFrame, path: str, key: str = "id", mode: str = "ove
      .write.mode(mode).option("maxRecordsPerFile", rows_per_file).partitionBy("yyyymm").parquet(path))
 
 
+def months_of(rows: DataFrame) -> list[int | None]:
+    """The months rows lie in: one value per calendar month, None for rows without a time."""
+    return [r[0] for r in rows.select(cal.yyyymm(F.col("created_at"))).distinct().collect()]
+
+
+def in_months(months: Sequence[int | None], column: str = "yyyymm") -> Column:
+    """Rows of these months, also of the one without a time. As a filter on a folder column it prunes."""
+    known = [m for m in months if m is not None]
+    keep = F.col(column).isin(known) if known else F.lit(False)
+    return keep | F.col(column).isNull() if None in months else keep
+
+
+def month_folder(path: str, month: int | None) -> str:
+    return f"{path}/yyyymm={'__HIVE_DEFAULT_PARTITION__' if month is None else month}"
+
+
+def overwrite_months(spark: SparkSession, rows: DataFrame, path: str, months: Sequence[int | None], key: str = "id") -> None:
+    """Replace the named months of a table by ``rows``, which may hold no others; all other folders keep their files.
+
+    ``rows`` must not read the table itself (stage them first). Months that have no rows left
+    are removed last, so that a reader meets the new rows no later than the old ones go. A run
+    that is cut off is made good by running it again with the same changes.
+    """
+    spread = rows.withColumn("yyyymm", cal.yyyymm(F.col("created_at"))).hint("rebalance", "yyyymm").sortWithinPartitions("yyyymm", key)
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("yyyymm").parquet(path)
+    left = set(months_of(rows))
+    for month in months:
+        if month not in left:
+            remove_folder(spark, month_folder(path, month))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, if it exists."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def compact_changes(spark: SparkSession, path: str, changes: DataFrame, key: str = "id", version: str = "cdc_ts_ms",
+                    ties: Sequence[str] = ()) -> list[int | None]:
+    """Bring a table of current rows, kept by month, up to date with new versions; returns the months it rewrote.
+
+    Only months that the changes lie in, and months in which the changed keys lay before, are
+    read and replaced. Where a key lay comes from the key column and the folder name alone.
+    Changes that are older than what is there, or came before, leave everything as it is, so
+    they may be given again.
+    """
+    changes = staged(changes, "compaction-changes")
+    current = spark.read.parquet(path)
+    ids = changes.select(key).distinct()
+    former = current.select(key, "yyyymm").join(ids, key, "left_semi").select("yyyymm").distinct()
+    months = sorted({*months_of(changes), *(r[0] for r in former.collect())}, key=lambda m: (m is not None, m))
+    stored = current.filter(in_months(months)).drop("yyyymm")
+    rows = staged(merge_changes(stored, changes.select(stored.columns), key, version, ties), "compaction")
+    overwrite_months(spark, rows, path, months, key)
+    return months
+
+
+def remove_expired_months(spark: SparkSession, path: str, as_of, months: int) -> int:
+    """Delete the month folders that :func:`retain_months` drops, of a table or of a log that a stream wrote; returns their number.
+
+    Nothing is read or rewritten: the month stands in the folder name. Rows without a time stay.
+    """
+    oldest = spark.range(1).select(cal.yyyymm(cal.month_start(F.add_months(cal.day_of(as_of), -months)))).first()[0]
+    removed = 0
+    for pattern in (f"{path}/yyyymm=*", f"{path}/run=*/batch_id=*/rejected=*/yyyymm=*"):
+        place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in store.globStatus(place) or ():
+            month = found.getPath().getName().partition("=")[2]
+            if month.isdigit() and int(month) < oldest:
+                store.delete(found.getPath(), True)
+                removed += 1
+    return removed
+
+
 def read_months(spark: SparkSession, path: str, first, last) -> DataFrame:
     """Read a time range; the month predicate prunes folders, the other one rows."""
     lo, hi = cal.moment(first), cal.moment(last)

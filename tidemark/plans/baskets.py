@@ -12,10 +12,13 @@ Joining the items of an order with themselves squares a big order. Instead:
    most that many others.
 3. Bigger orders are not paired. A pair gains at most one count from each of
    them, so only pairs whose count so far comes within their number of the k-th
-   best can still be in the result; those pairs alone are looked up in the big
+   best, or of the least count that is reported where there are fewer than ``k`` pairs,
+   can still be in the result; those pairs alone are looked up in the big
    orders. Should the big orders be so many that this bound says nothing, the
-   limit doubles until it does, so that the fewest and biggest stay unpaired.
-4. The subtotals are needed for the ``k`` pairs only, and come from running sums.
+   limit doubles until it does, so that the fewest and biggest stay unpaired:
+   the biggest order is never paired where pairs of two orders or more are asked for.
+4. A name in fewer orders than a pair must have is left out before pairing.
+5. The subtotals are needed for the ``k`` pairs only, and come from running sums.
 
 Every step is exact; the limit only chooses the way.
 """
@@ -38,9 +41,13 @@ def _recent_orders_only(lines: DataFrame, recent: Column) -> DataFrame:
     return lines.join(ids, "order_id", "left_semi")
 
 
-def _names_per_order(lines: DataFrame, recent: Column) -> DataFrame:
+def _names_per_order(lines: DataFrame, recent: Column, min_orders: int) -> DataFrame:
     names = lines.groupBy("order_id", "product_name").agg(
         F.min(F.when(recent, F.col("id"))).alias("low"), F.max("id").alias("high"))
+    if min_orders > 1:
+        names = staged(names, "basket-all-names")
+        often = names.groupBy("product_name").agg(F.count("*").alias("n")).filter(F.col("n") >= min_orders)
+        names = names.join(often.select("product_name"), "product_name", "left_semi")
     sizes = names.groupBy("order_id").agg(F.count("*").alias("n_names"))
     return names.join(sizes, "order_id")
 
@@ -64,8 +71,8 @@ def _count(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("product_a", "product_b").agg(F.count("*").alias("orders"))
 
 
-def pair_counts(names: DataFrame, holds: Column, k: int, basket_limit: int) -> DataFrame:
-    """Order counts per name pair, complete for every pair that can be in the best k."""
+def pair_counts(names: DataFrame, holds: Column, k: int, basket_limit: int, min_orders: int = 1) -> DataFrame:
+    """Order counts per name pair, complete for every pair that can be in the best k of those with ``min_orders`` orders."""
     sized = staged(names, "basket-names")
     limit = basket_limit
     while True:
@@ -76,11 +83,12 @@ def pair_counts(names: DataFrame, holds: Column, k: int, basket_limit: int) -> D
             return direct.withColumnRenamed("orders", "co_purchase_count")
         direct = staged(direct, "basket-pairs")
         best = direct.orderBy(F.desc("orders")).limit(k).agg(F.count("*"), F.min("orders")).head()
-        if best[0] == k and best[1] > n_big:
+        least = max(min_orders, best[1]) if best[0] == k else min_orders  # a pair of the result has so many orders at least
+        if least > n_big:
             break
         limit *= 2
     big = sized.filter(F.col("n_names") > limit)
-    reach = direct.filter(F.col("orders") >= best[1] - n_big).select("product_a", "product_b")
+    reach = direct.filter(F.col("orders") >= least - n_big).select("product_a", "product_b")
     looked_up = _count(_side(big, "a").join(reach, "product_a")
                        .join(_side(big, "b"), ["order_id", "product_b"]).filter(holds))
     return (direct.unionByName(looked_up).groupBy("product_a", "product_b")
@@ -135,7 +143,7 @@ def bought_together(items: DataFrame, as_of, days: int = 30, min_orders: int = 3
     """The ``k`` name pairs found in the most orders, ordered by item id within a pair."""
     recent = cal.since(F.col("created_at"), as_of, f"{days} DAY")
     lines = _lines(items, recent)
-    best = _best(pair_counts(_names_per_order(lines, recent), _by_item_id(), k, basket_limit), min_orders, k)
+    best = _best(pair_counts(_names_per_order(lines, recent, min_orders), _by_item_id(), k, basket_limit, min_orders), min_orders, k)
     revenue = _bundle_revenue(lines, recent, best, id_range)
     return best.join(revenue, ["product_a", "product_b"]).orderBy(
         F.desc("co_purchase_count"), "product_a", "product_b")
@@ -147,7 +155,7 @@ def bought_together_unordered(items: DataFrame, as_of, days: int = 30, min_order
     items; the mean is that of both names' subtotals per order."""
     recent = cal.since(F.col("created_at"), as_of, f"{days} DAY")
     lines = _lines(items, recent)
-    best = _best(pair_counts(_names_per_order(lines, recent), _unordered(), k, basket_limit), min_orders, k)
+    best = _best(pair_counts(_names_per_order(lines, recent, min_orders), _unordered(), k, basket_limit, min_orders), min_orders, k)
     per_order = (lines.join(F.broadcast(_roles(best)), "product_name")
                  .groupBy("product_a", "product_b", "order_id").agg(
                      F.sum("subtotal").alias("amount"), F.count_distinct("is_b").alias("names"),

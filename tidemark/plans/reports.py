@@ -32,14 +32,14 @@ def _name_sales(lines: DataFrame, key: str) -> DataFrame:
 
 
 def bestsellers_now(items: DataFrame, orders: DataFrame, as_of, interval: str = "1 HOUR", k: int = 10) -> DataFrame:
-    recent = items.filter(cal.since(F.col("created_at"), as_of, interval))
+    recent = cal.rows_since(items, as_of, interval)
     lines = sold_lines(recent, orders, keep_deleted_orders=True)
     return _name_sales(lines, "product_name").orderBy(F.desc("revenue"), "product_name").limit(k)
 
 
 def kpi_orders(orders: DataFrame, as_of) -> DataFrame:
     """One row for the day: orders, revenue, average order value, buyers."""
-    today = active(orders).filter(cal.on_day(F.col("created_at"), as_of))
+    today = cal.rows_on_day(active(orders), as_of)
     return today.agg(
         F.count("*").cast("bigint").alias("total_orders"),
         total("total_amount").alias("total_revenue"),
@@ -49,7 +49,7 @@ def kpi_orders(orders: DataFrame, as_of) -> DataFrame:
 
 def kpi_with_items(orders: DataFrame, items: DataFrame, as_of, fan_out: bool = False) -> DataFrame:
     """The day's key figures with item figures and the completion rate."""
-    today = alive(orders).filter(cal.on_day(F.col("created_at"), as_of))
+    today = cal.rows_on_day(alive(orders), as_of)
     lines = staged(items.join(today.select(F.col("id").alias("order_id")), "order_id", "left_semi")
                    .select("order_id", "product_id", "quantity", "price", "subtotal", "cdc_op"), "day-lines")
     products = lines.agg(F.count_distinct("product_id").cast("bigint").alias("n"))
@@ -67,8 +67,8 @@ def kpi_with_items(orders: DataFrame, items: DataFrame, as_of, fan_out: bool = F
 
 
 def orders_by_hour(orders: DataFrame, items: DataFrame, as_of) -> DataFrame:
-    today = alive(orders).filter(cal.on_day(F.col("created_at"), as_of))
-    counts = (alive(items).filter(cal.on_day(F.col("created_at"), as_of))
+    today = cal.rows_on_day(alive(orders), as_of)
+    counts = (cal.rows_on_day(alive(items), as_of)
               .groupBy(F.col("order_id").alias("id")).agg(F.count("*").alias("item_count")))
     return (today.join(counts, "id", "left").groupBy(F.hour("created_at").cast("bigint").alias("hour")).agg(
         F.count("*").cast("bigint").alias("order_count"),
@@ -79,14 +79,14 @@ def orders_by_hour(orders: DataFrame, items: DataFrame, as_of) -> DataFrame:
 
 def category_sales(items: DataFrame, as_of, k: int = 10) -> DataFrame:
     """The day's sales by the first word of the product name."""
-    today = (alive(items).filter(cal.on_day(F.col("created_at"), as_of))
+    today = (cal.rows_on_day(alive(items), as_of)
              .withColumn("category", F.split_part("product_name", F.lit(" "), F.lit(1))))
     return _name_sales(today, "category").orderBy(F.desc("revenue"), "category").limit(k)
 
 
 def bestsellers_day(daily: DataFrame, as_of, k: int = 10) -> DataFrame:
     """From the daily product rollup."""
-    return (daily.filter(F.col("sale_date") == cal.day_of(as_of)).groupBy("product_name").agg(
+    return (cal.rows_of_days(daily, as_of, 0, "sale_date").groupBy("product_name").agg(
         whole(F.sum("total_quantity")).alias("quantity_sold"),
         total("total_revenue").alias("revenue"),
         whole(F.sum("unique_customers")).alias("customers"))
@@ -94,23 +94,23 @@ def bestsellers_day(daily: DataFrame, as_of, k: int = 10) -> DataFrame:
 
 
 def hourly_trend(hourly: DataFrame, as_of) -> DataFrame:
-    return (hourly.filter(cal.since(F.col("hour_timestamp"), as_of, "24 HOUR"))
+    return (cal.rows_since(hourly, as_of, "24 HOUR", "hour_timestamp")
             .select("hour_timestamp", "product_name", "orders", "quantity", "revenue")
             .orderBy(F.desc("hour_timestamp"), F.desc("revenue")))
 
 
 def cart_trend(carts: DataFrame, as_of, days: int = 7) -> DataFrame:
-    return carts.filter(cal.days_back(F.col("order_date"), as_of, days)).orderBy(F.desc("order_date"))
+    return cal.rows_of_days(carts, as_of, days, "order_date").orderBy(F.desc("order_date"))
 
 
 def product_report(view: DataFrame, as_of, days: int = 7) -> DataFrame:
-    return (view.filter(cal.days_back(F.col("sale_date"), as_of, days))
+    return (cal.rows_of_days(view, as_of, days, "sale_date")
             .select("sale_date", "product_id", "product_name", "total_revenue", "total_quantity", "avg_price")
             .orderBy(F.desc("total_revenue")))
 
 
 def daily_revenue_week(orders: DataFrame, as_of, days: int = 7) -> DataFrame:
-    recent = alive(orders).filter(cal.since(F.col("created_at"), as_of, f"{days} DAY"))
+    recent = cal.rows_since(alive(orders), as_of, f"{days} DAY")
     return (recent.groupBy(F.to_date("created_at").alias("order_date")).agg(
         F.count("*").cast("bigint").alias("orders"), total("total_amount").alias("revenue"))
         .orderBy(F.desc("order_date")))
@@ -215,7 +215,7 @@ def repeat_purchase(items: DataFrame, orders: DataFrame, min_customers: int = 5,
 
 def stock_projection(daily: DataFrame, as_of, days: int = 30, stock: int = 1000, k: int = 20) -> DataFrame:
     """Days until a stock of ``stock`` units sells out at the recent pace."""
-    recent = daily.filter(cal.days_back(F.col("sale_date"), as_of, days))
+    recent = cal.rows_of_days(daily, as_of, days, "sale_date")
     sold = F.col("total_sold_30d")
     return (recent.groupBy("product_name").agg(
         whole(F.sum("total_quantity")).alias("total_sold_30d"),
@@ -231,8 +231,7 @@ def stock_projection(daily: DataFrame, as_of, days: int = 30, stock: int = 1000,
 # the period, so their size is set by the calendar and not by the data.
 
 def weekly_growth(orders: DataFrame, as_of, weeks: int = 12) -> DataFrame:
-    done = alive(orders).filter((F.col("status") == "COMPLETED")
-                                & cal.since(F.col("created_at"), as_of, f"{weeks} WEEK"))
+    done = cal.rows_since(alive(orders), as_of, f"{weeks} WEEK").filter(F.col("status") == "COMPLETED")
     weekly = done.groupBy(cal.monday(F.col("created_at")).alias("week_start")).agg(
         total("total_amount").alias("revenue"), F.count("*").cast("bigint").alias("order_count"))
     before = F.lag("revenue").over(Window.orderBy("week_start"))
@@ -248,8 +247,7 @@ def revenue_forecast(orders: DataFrame, as_of, days: int = 30, k: int = 30) -> D
 
     The line comes from exact integer sums of day numbers and cents.
     """
-    done = alive(orders).filter((F.col("status") == "COMPLETED")
-                                & cal.since(F.col("created_at"), as_of, f"{days} DAY"))
+    done = cal.rows_since(alive(orders), as_of, f"{days} DAY").filter(F.col("status") == "COMPLETED")
     daily = done.groupBy(F.to_date("created_at").alias("date")).agg(total("total_amount").alias("actual_revenue"))
     x = F.datediff("date", F.date_sub(cal.day_of(as_of), days)).cast("bigint")
     y = (F.col("actual_revenue") * 100).cast("bigint")
@@ -272,7 +270,7 @@ def revenue_forecast(orders: DataFrame, as_of, days: int = 30, k: int = 30) -> D
 
 def volume_decomposition(orders: DataFrame, as_of, days: int = 60) -> DataFrame:
     """Daily orders, 7-row trend and the mean of days on the weekday of ``as_of``."""
-    recent = alive(orders).filter(cal.since(F.col("created_at"), as_of, f"{days} DAY"))
+    recent = cal.rows_since(alive(orders), as_of, f"{days} DAY")
     daily = recent.groupBy(F.to_date("created_at").alias("date")).agg(
         F.count("*").cast("bigint").alias("daily_orders"))
     week = Window.orderBy("date").rowsBetween(-6, 0)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import calendar as cal
 from tidemark.functions.money import total
 from tidemark.operators.staging import staged
 from tidemark.operators.versions import with_deleted
@@ -71,24 +72,48 @@ def nested_items(orders: DataFrame, items: DataFrame, chunk: int = 10_000) -> Da
             .withColumn("items", F.coalesce("items", F.array().cast(packed.schema["items"].dataType))))
 
 
+ORDER_COLUMNS = ("id", "user_id", "status", "total_amount", "created_at")
+
+
+def _with_items(one: DataFrame, items: DataFrame) -> DataFrame:
+    """A page of orders with nested items. The page is cut once, and only its (at most ``limit``) orders are matched."""
+    one = staged(one.select(*ORDER_COLUMNS), "order-page")
+    wanted = items.join(F.broadcast(one.select(F.col("id").alias("order_id"))), "order_id", "left_semi")
+    return nested_items(one, wanted)
+
+
 def order_page(orders: DataFrame, items: DataFrame, status: str | None = None, user_id: int | None = None,
                page: int = 1, limit: int = 10) -> DataFrame:
     """A page of orders, newest first, with nested items and page numbers.
 
-    The page is cut before items are read: only its (at most ``limit``) orders are
-    matched with items.
+    Every row before the page is sorted: for deep pages :func:`order_page_after` starts at the page itself.
     """
     found = order_list(orders, status, user_id)
     one = page_of(found, F.desc("created_at"), F.desc("id"), page=page, limit=limit)
-    wanted = items.join(F.broadcast(one.select(F.col("id").alias("order_id"))), "order_id", "left_semi")
-    full = nested_items(one.select("id", "user_id", "status", "total_amount", "created_at"), wanted)
-    return with_page_info(full, found, page, limit)
+    return with_page_info(_with_items(one, items), found, page, limit)
+
+
+def order_page_after(orders: DataFrame, items: DataFrame, last: tuple | None, status: str | None = None, user_id: int | None = None,
+                     limit: int = 10) -> DataFrame:
+    """The page behind the order (created_at, id) that a client saw last; the first page without one.
+
+    What lies before is filtered out, by a time predicate that reaches the scan and prunes the
+    months of a table kept by month; of the rest each task keeps ``limit`` rows, so nothing is
+    sorted that was skipped.
+    """
+    found = order_list(orders, status, user_id)
+    if last is not None:
+        at, seen = cal.moment(last[0]), F.lit(last[1])
+        if "yyyymm" in found.columns:
+            found = found.filter(F.col("yyyymm") <= cal.yyyymm(at))
+        found = found.filter(F.col("created_at") <= at).filter((F.col("created_at") < at) | (F.col("id") < seen))
+    return _with_items(found.orderBy(F.desc("created_at"), F.desc("id")).limit(limit), items)
 
 
 def user_orders(orders: DataFrame, items: DataFrame, user_id: int | None = None) -> DataFrame:
     """Orders with nested items, of one user or of all."""
     found = order_list(orders, user_id=user_id)
-    return nested_items(found.select("id", "user_id", "status", "total_amount", "created_at"), items)
+    return nested_items(found.select(*ORDER_COLUMNS), items)
 
 
 def recent_orders(orders: DataFrame, users: DataFrame, items: DataFrame, k: int = 20) -> DataFrame:

@@ -24,16 +24,22 @@ def _wire(field: T.StructField) -> Column:
 
 
 def to_envelopes(log: DataFrame, table: str, schema: T.StructType, db: str = "shop", file: Column | None = None,
-                 pos: Column | None = None) -> DataFrame:
-    """One ``value`` text per log row; a delete carries its image in ``before``."""
+                 pos: Column | None = None, former: dict[str, str] | None = None) -> DataFrame:
+    """One ``value`` text per log row; a delete carries its image in ``before``.
+
+    ``former`` names columns of ``log`` with values from before an update, by field:
+    an update then carries its image with these in ``before``.
+    """
     image = F.struct(*[_wire(f) for f in schema])
     gone = F.col("cdc_op").eqNullSafe("d")
+    old = F.lit(None) if former is None else F.when(F.col("cdc_op") == "u", F.struct(
+        *[F.col(former[f.name]).alias(f.name) if f.name in former else _wire(f) for f in schema]))
     source = F.struct(
         F.lit(db).alias("db"), F.lit(table).alias("table"), F.col("cdc_ts_ms").alias("ts_ms"),
         (file if file is not None else F.lit("log.000001")).alias("file"),
         (pos if pos is not None else F.col("id")).alias("pos"))
     body = F.struct(
-        F.when(gone, image).alias("before"), F.when(~gone, image).alias("after"), source.alias("source"),
+        F.when(gone, image).otherwise(old).alias("before"), F.when(~gone, image).alias("after"), source.alias("source"),
         F.col("cdc_op").alias("op"), F.col("cdc_ts_ms").alias("ts_ms"))
     return log.select(F.to_json(body).alias("value"))
 

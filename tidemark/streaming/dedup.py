@@ -13,9 +13,10 @@ def drop_repeats(rows: DataFrame, ingest: str = "ingest_ts", delay: str = "10 mi
     """Drop repeats of one change, (id, version, source position), that arrive within ``delay``.
 
     The watermark runs on arrival time. On the time of the change it would drop
-    late versions, which must reach the log.
+    late versions, which must reach the log. An event that gave no row is known by its text.
     """
-    return rows.withWatermark(ingest, delay).dropDuplicatesWithinWatermark(["id", "cdc_ts_ms", *[c for c in ("source_pos",) if c in rows.columns]])
+    more = [c for c in ("source_pos", "event") if c in rows.columns]
+    return rows.withWatermark(ingest, delay).dropDuplicatesWithinWatermark(["id", "cdc_ts_ms", *more])
 
 
 def first_seen(rows: DataFrame, schema: T.StructType, ttl_ms: int = FIRST_SEEN_TTL_MS) -> DataFrame:

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import time
+from collections import deque
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.functions import calendar as cal
-from tidemark.operators import parsing, routing
+from tidemark.operators import parsing, routing, versions
+from tidemark.operators.staging import staged
 from tidemark.operators.versions import latest
 from tidemark.plans import rollups
 from tidemark.schemas import ITEM_REQUIRED, ORDER_ITEMS, ORDER_ITEMS_LOG, ORDER_REQUIRED, ORDERS, ORDERS_LOG, TIE
@@ -45,17 +48,19 @@ def sync(events: DataFrame, table: str, base: str, every: str | None = writers.S
 
     ``mode``: ``versions`` drops repeated (id, version) pairs, ``first_seen`` keeps
     the first row of an id per period, ``all`` keeps everything. State and progress
-    live in the checkpoint, from which a restart goes on.
+    live in the checkpoint, from which a restart goes on. Events are parsed once: those
+    that give no row, and rows that lack a column, go to the rejected side of the log
+    (not in ``first_seen``, whose state knows ids only), see :func:`rejected_events`.
+    Every batch counts them, see :func:`progress`.
     """
     schema, log_schema, required = MODEL[table]
+    if mode not in ("first_seen", "versions", "all"):
+        raise ValueError(f"unknown mode: {mode}")
     if mode == "first_seen":
         rows = dedup.first_seen(parsing.typed_rows(events, schema, keep=[TIE.name]), log_schema, ttl_ms)
-    elif mode == "versions":
-        rows = dedup.drop_repeats(parsing.typed_rows(events, schema, keep=[TIE.name, "ingest_ts"])).drop("ingest_ts")
-    elif mode == "all":
-        rows = parsing.typed_rows(events, schema, keep=[TIE.name])
     else:
-        raise ValueError(f"unknown mode: {mode}")
+        rows = observed(parsing.all_rows(events, schema, required, keep=[TIE.name, "ingest_ts"]))
+        rows = (dedup.drop_repeats(rows) if mode == "versions" else rows).drop("ingest_ts")
     checkpoint = f"{base}/checkpoints/{table}-{mode}"
     sink = writers.log_sink(f"{base}/{table}", required, after, writers.run_of(events.sparkSession, checkpoint))
     return _start(rows.writeStream.foreachBatch(sink).outputMode("append")
@@ -63,6 +68,21 @@ def sync(events: DataFrame, table: str, base: str, every: str | None = writers.S
                   .trigger(**trigger(every)), events.sparkSession, state_partitions)
 
 
+ARRIVALS = "arrivals"
+
+
+def observed(rows: DataFrame) -> DataFrame:
+    """Count what a batch brings as it passes: events, those without a row, incomplete ones, the newest change, the longest delay."""
+    return rows.observe(
+        ARRIVALS, F.count("*").alias("events"), F.count("event").alias("bad"), (F.count("reason") - F.count("event")).alias("incomplete"),
+        F.max("cdc_ts_ms").alias("newest_change_ms"), F.max(dedup.delay_ms()).alias("longest_delay_ms"))
+
+
+def rejected_events(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """Rows and events that a running sync set aside, with the reason."""
+    return writers.read_rejected(spark, f"{base}/{table}", MODEL[table][1])
+
+
 def _start(writer, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
     """Start with a number of state partitions of its own: it is fixed by the first
     run of a checkpoint and should follow the size of the state."""
@@ -93,8 +113,8 @@ def drain(query: StreamingQuery, poll_s: float = 0.5, limit_s: float | None = No
             last = query.lastProgress
             if last is not None and last["numInputRows"] > 0:
                 started = True
-            elif (started or (last is not None and last["batchId"] > 0)) and not query.status["isTriggerActive"]:
-                return
+            elif (started or last is not None) and not query.status["isTriggerActive"]:
+                return  # a progress without rows: nothing new, or nothing at all
             time.sleep(poll_s)
     finally:
         query.stop()
@@ -145,26 +165,65 @@ def refresh_product_daily(spark: SparkSession, base: str, changed_items: DataFra
     touched = (items_log.join(ids, "id", "left_semi").select("yyyymm")
                .unionAll(items_log.join(order_ids, "order_id", "left_semi").select("yyyymm"))
                .distinct())
-    months = [r[0] for r in touched.collect()]  # one row per calendar month
+    months = [r[0] for r in touched.collect()]  # one value per calendar month
     items = current_rows(spark, base, "order_items")
     orders = current_rows(spark, base, "orders")
-    month = cal.yyyymm(F.col("created_at"))
-    daily = rollups.product_daily(items.filter(month.isin(months)), orders)
-    daily = daily.withColumn("yyyymm", cal.yyyymm(F.col("sale_date"))).persist()
-    left = {r[0] for r in daily.select("yyyymm").distinct().collect()}  # one row per calendar month
+    in_touched = versions.in_months(months, "_month")
+    touched_items = items.withColumn("_month", cal.yyyymm(F.col("created_at"))).filter(in_touched).drop("_month")
+    daily = staged(rollups.product_daily(touched_items, orders).withColumn("yyyymm", cal.yyyymm(F.col("sale_date"))), "refreshed")
+    daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("yyyymm").parquet(rollup_path)
+    left = {r[0] for r in daily.select("yyyymm").distinct().collect()}  # one value per calendar month
     for emptied in set(months) - left:  # an overwrite by month can't clear a month without rows
-        writers.remove(spark, f"{rollup_path}/yyyymm={emptied}")
-    (daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("yyyymm").parquet(rollup_path))
-    daily.unpersist()
+        versions.remove_folder(spark, versions.month_folder(rollup_path, emptied))
 
 
 def progress(query: StreamingQuery) -> list[dict]:
-    """Rows, rates, duration and backlog of the recent micro-batches."""
+    """Rows, rates, duration, backlog and what was counted of the recent micro-batches."""
     out = []
     for p in query.recentProgress:
         behind = [s["metrics"].get("maxOffsetsBehindLatest") for s in p["sources"] if s.get("metrics")]
         out.append({"batch_id": p["batchId"], "rows": p["numInputRows"],
                     "rows_per_second": p.get("processedRowsPerSecond"),
                     "duration_ms": p["durationMs"].get("triggerExecution"),
-                    "backlog": max((int(b) for b in behind if b is not None), default=None)})
+                    "backlog": max((int(b) for b in behind if b is not None), default=None),
+                    **_counted(p["observedMetrics"].get(ARRIVALS))})
     return out
+
+
+def _counted(metrics: Row | None) -> dict:
+    return {} if metrics is None else metrics.asDict()
+
+
+class Lag(StreamingQueryListener):
+    """How far each micro-batch of the queries of a session is behind the changes, as it happens.
+
+    ``seen`` gets (query, batch, events, newest change, its age at the end of the batch in milliseconds).
+    Register with ``spark.streams.addListener``; ``limit`` bounds what is kept, ``warn`` is told of a lag of
+    more than ``warn_ms``.
+    """
+
+    def __init__(self, limit: int = 1000, warn_ms: int | None = None, warn: Callable[[dict], None] | None = None):
+        self.seen: deque[dict] = deque(maxlen=limit)
+        self.warn_ms, self.warn = warn_ms, warn
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        found = p.observedMetrics.get(ARRIVALS)
+        if found is None or not found["events"]:
+            return
+        ended = datetime.fromisoformat(p.timestamp.replace("Z", "+00:00")).timestamp() * 1000 + p.durationMs["triggerExecution"]
+        newest = found["newest_change_ms"]
+        row = {"query": str(p.runId), "batch_id": p.batchId, "events": found["events"], "newest_change_ms": newest,
+               "lag_ms": None if newest is None else int(ended - newest)}
+        self.seen.append(row)
+        if self.warn is not None and row["lag_ms"] is not None and row["lag_ms"] > self.warn_ms:
+            self.warn(row)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
