@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import base64
 import functools
-import struct
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,53 +29,46 @@ SPACE_MARK = "▁"
 
 
 def same_from(a: bytes, b: bytes, i: int, j: int) -> int:
-    """How many entries agree from ``a[i]`` and ``b[j]`` on, both arrays of 8-byte numbers."""
-    limit = min(len(a) // 8 - i, len(b) // 8 - j)
-    good, width = 0, 1
-
-    def same(upto: int) -> bool:
-        return a[8 * (i + good):8 * (i + upto)] == b[8 * (j + good):8 * (j + upto)]
-
-    while good < limit:
-        upto = min(good + width, limit)
-        if same(upto):
-            good, width = upto, 2 * width
-            continue
-        while upto - good > 1:  # the first difference lies before ``upto``
-            half = (good + upto) // 2
-            if same(half):
-                good = half
-            else:
-                upto = half
-        break
+    """How many entries agree from ``a[i]`` and ``b[j]`` on, both arrays of 4-byte numbers."""
+    limit = min(len(a) // 4 - i, len(b) // 4 - j)
+    x, y, good, width = 4 * i, 4 * j, 0, 1
+    while good + width <= limit and a[x + 4 * good:x + 4 * (good + width)] == b[y + 4 * good:y + 4 * (good + width)]:
+        good += width
+        width *= 2
+    while width > 1:  # fewer than ``width`` entries more agree: halve up to the first difference
+        width //= 2
+        if good + width <= limit and a[x + 4 * good:x + 4 * (good + width)] == b[y + 4 * good:y + 4 * (good + width)]:
+            good += width
     return good
 
 
-def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> list[tuple[int, int, int, int]]:
+def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
     """Stretches (from_a, from_b, to_a, to_b) of token numbers, both ends excluded, in order.
 
-    A stretch of the same number of tokens on both sides goes one to one, unless it is a
-    single group: only a stretch whose first ends differ is one group of several tokens.
-    The last end of both must be the same.
+    A stretch whose first ends agree goes one to one; one whose first ends differ is one group
+    of several tokens. The last end of both must be the same.
     """
-    raw_a, raw_b = ends_a.astype("<i8").tobytes(), ends_b.astype("<i8").tobytes()
+    raw_a, raw_b = ends_a.astype("<u4").tobytes(), ends_b.astype("<u4").tobytes()
     list_a, list_b = ends_a.tolist(), ends_b.tolist()
-    out, i, j = [], 0, 0
-    while i < len(list_a):
-        n = same_from(raw_a, raw_b, i, j)
-        if n:
-            out.append((i, j, i + n, j + n))
-            i, j = i + n, j + n
-            continue
+    out, i, j, n = array("q"), 0, 0, len(list_a)
+    while i < n:
         x, y = i, j
-        while list_a[x] != list_b[y]:
-            if list_a[x] < list_b[y]:
-                x += 1
-            else:
-                y += 1
-        out.append((i, j, x + 1, y + 1))
-        i, j = x + 1, y + 1
-    return out
+        at, other = list_a[i], list_b[j]
+        if at == other:
+            more = same_from(raw_a, raw_b, i, j)
+            x, y = i + more, j + more
+        else:
+            while at != other:
+                if at < other:
+                    x += 1
+                    at = list_a[x]
+                else:
+                    y += 1
+                    other = list_b[y]
+            x, y = x + 1, y + 1
+        out.extend((i, j, x, y))
+        i, j = x, y
+    return np.frombuffer(out, "q").reshape(-1, 4)
 
 
 def last_tokens(stretches: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,9 +99,10 @@ class TwoTokenizers:
     Other texts are encoded whole.
     """
 
-    def __init__(self, ranks: str, pieces: str, size: int = 300_000):
+    def __init__(self, ranks: str, pieces: str, size: int = 500_000):
         import sentencepiece
         self.a = rank_encoder(ranks).ids
+        self.names = [str(i) for i in range(1 << 16)]
         with open(ranks, "rb") as lines:
             words = {int(i): base64.b64decode(w) for w, i in (line.split() for line in lines if line.strip())}
         self.a_words = [words.get(i, b"") for i in range(max(words) + 1)]
@@ -120,34 +114,43 @@ class TwoTokenizers:
         self.a_lengths = np.array([len(w) for w in self.a_words], "<u4")
         self.b_lengths = np.array([len(w) for w in self.b_words], "<u4")
         self.size = size
-        self.known: dict[str, tuple[bytes, bytes]] = {}
-
-    def whole(self, text: str) -> tuple[bytes, bytes] | None:
-        """Ids of both as 32-bit numbers; none where the bytes of either are not the text's."""
-        raw = b" " + text.encode()
-        a, b = self.a(" " + text), self.b.encode(text)
-        if b"".join(map(self.a_words.__getitem__, a)) != raw or b"".join(map(self.b_words.__getitem__, b)) != raw:
-            return None
-        return struct.pack(f"<{len(a)}I", *a), struct.pack(f"<{len(b)}I", *b)
-
-    def run(self, run: str) -> tuple[bytes, bytes] | None:
-        if not run or run[0].isspace() or run[-1].isspace():
-            return None
-        if len(self.known) >= self.size:
-            self.known.clear()
-        codes = self.whole(run)
-        if codes and len(run) <= 64:
-            self.known[run] = codes
-        return codes
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.characters = 0
+
+    def whole(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of both as 32-bit numbers; none where the bytes of B are not the text's. Those of A, which knows all bytes, always are."""
+        out, words = [], self.b_words
+        for text, b in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
+            text = " " + text
+            same = b"".join([words[i] for i in b]) == text.encode()
+            out.append((array("I", self.a(text)).tobytes(), array("I", b).tobytes()) if same else None)
+        return out
+
+    def learn(self, texts: list[str]) -> None:
+        """Encode the new runs of several texts together. A run with white space at its rim is left out: it depends on what is around it."""
+        if self.cuttable:
+            known = self.known
+            runs = {r for text in texts for r in text.split(" ") if r not in known}
+            free = [r for r in runs if r and not r[0].isspace() and not r[-1].isspace()]
+            if len(known) >= self.size or self.characters > 16 * self.size:
+                known.clear()
+                self.characters = 0
+            self.characters += sum(map(len, free))
+            known.update(zip(free, self.whole(free), strict=True))
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both, or none: an empty text, or one that a tokenizer changes."""
         if not text:
             return None
-        known = self.known.get
-        codes = [known(r) or self.run(r) for r in text.split(" ")] if self.cuttable else [None]
+        codes = [None]
+        if self.cuttable:
+            runs = text.split(" ")
+            codes = list(map(self.known.get, runs))
+            if None in codes:
+                self.learn([text])
+                codes = list(map(self.known.get, runs))
         if None in codes:
-            codes = [self.whole(text)]
+            codes = self.whole([text])
             if codes[0] is None:
                 return None
         a, b = zip(*codes, strict=True)
@@ -187,7 +190,9 @@ def align(docs: DataFrame, ranks: str | None = None, pieces: str | None = None)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                rows = [row(coder, names, text) for text in part.column("text").to_pylist()]
+                texts = part.column("text").to_pylist()
+                coder.learn(texts)
+                rows = [row(coder, names, text) for text in texts]
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id")] + [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
@@ -201,13 +206,13 @@ def row(coder: TwoTokenizers, names: PairNames, text: str) -> tuple:
     if found is None:
         return 0, 0, 0, "", [], []
     a, b, stretches, ends_a, ends_b = found
-    stretches = np.array(stretches)
     last_a, last_b, of = last_tokens(stretches, ends_a, ends_b)
     codes = a[last_a].astype("i8") << 32 | b[last_b].astype("i8")
     shown = list(map(names.__getitem__, codes.tolist()))
     several = np.flatnonzero(ends_a[stretches[of, 0]] != ends_b[stretches[of, 1]])
+    text_of, ids_a, ids_b = coder.names, a.tolist(), b.tolist()
     for k, (i, j, x, y) in zip(several.tolist(), stretches[of[several]].tolist(), strict=True):
-        shown[k] = ",".join(map(str, a[i:x].tolist())) + "|" + ",".join(map(str, b[j:y].tolist()))
+        shown[k] = ",".join([text_of[v] for v in ids_a[i:x]]) + "|" + ",".join([text_of[v] for v in ids_b[j:y]])
     pairs, times = np.unique(codes, return_counts=True)
     return len(a), len(b), len(shown), ";".join(shown), pairs, times.astype("i4")
 
