@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +13,6 @@ from tidemark.llm.common import blocks, documents, held_out, learned_from, mix64
 N = 5  # bytes of an n-gram
 HASHES = 3
 BLOCK = 1 << 20
-LETTER = re.compile(r"[^\W\d_]")
 # ASCII other than letters counts as a space.
 PLAIN = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
@@ -133,7 +131,7 @@ def identify(spark: SparkSession, docs: DataFrame, model: LanguageFilter | None)
         for batch in batches:
             raw = batch.column("text").to_pylist()
             langs, scores, sizes = ["und"] * len(raw), np.zeros(len(raw)), np.zeros(len(raw), np.int64)
-            known = [i for i, t in enumerate(raw) if t and LETTER.search(t)] if m else []
+            known = [i for i, t in enumerate(raw) if t and any(map(str.isalpha, t))] if m else []
             hits = np.zeros((len(raw), len(m.languages) if m else 1))
             pieces = [(i, p) for i in known for p in long_parts(parts(raw[i]))]
             for block in blocks((p for _, p in pieces), BLOCK):

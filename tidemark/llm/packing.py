@@ -155,15 +155,15 @@ def pack(spark: SparkSession, pieces: DataFrame, size: int = 1024, open_bins: in
     hash to groups of about ``group`` pieces, whatever the size of the table, and each group
     is packed in hash order, so that long and short pieces mix; only lengths and ids move,
     no tokens. A group ends with at most ``open_bins`` unfilled sequences. The result depends
-    on the rows alone (ties by doc_id and piece), so a lost task repeats it. Repeated rows
-    are packed as often as they occur.
+    on the staged pieces alone, so a lost task repeats it. Repeated rows are packed as often
+    as they occur.
     """
-    pieces = staged(spark, pieces, "pieces")
+    pieces = staged(spark, pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     n = pieces.filter(F.col("length") < size).count()
     groups = max(1, -(-n // group))
-    key = F.xxhash64("doc_id", "piece")
+    key = F.xxhash64("doc_id", "piece", "row")  # rows without a doc_id, or that repeat, are dealt evenly too
     dealt = (pieces.filter(F.col("length") < size).withColumn("at", key)
-             .repartition(groups, "at").sortWithinPartitions("at", "doc_id", "piece", "start", "length", "ids_crc32").drop("at"))
+             .repartition(groups, "at").sortWithinPartitions("at", "doc_id", "piece", "start", "length", "ids_crc32").drop("at", "row"))
 
     def run(batches):
         from pyspark import TaskContext
@@ -177,7 +177,7 @@ def pack(spark: SparkSession, pieces: DataFrame, size: int = 1024, open_bins: in
         yield from out.append_column("offset", pa.array(offsets, pa.int64())).to_batches()
 
     # Full pieces take the negative numbers, one each.
-    full = pieces.filter(F.col("length") == size).withColumn(
+    full = pieces.filter(F.col("length") == size).drop("row").withColumn(
         "sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
     return dealt.mapInArrow(run, PACKED).unionByName(full)
 

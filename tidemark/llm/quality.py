@@ -36,14 +36,20 @@ def statistics(text: str) -> np.ndarray:
         return out
     histogram, words, lines = np.zeros(256), Counter(), Counter()
     repeats = marked = caps = chars = long_words = 0
-    last = None
+    last, open_line = None, []  # a line may go on in the next block
     for block in cuts(raw):
         histogram += np.bincount(np.frombuffer(block, np.uint8), minlength=256)
         found = block.split()
         words.update(found)
-        lines.update(map(hash, block.split(b"\n")))
+        first, *more = block.split(b"\n")
+        open_line.append(first)
+        if more:
+            lines[hash(b"".join(open_line))] += 1
+            lines.update(map(hash, more[:-1]))
+            open_line = [more[-1]]
         repeats += sum(map(bytes.__eq__, found, [last] + found[:-1])) if last is not None else sum(map(bytes.__eq__, found[1:], found))
         last = found[-1] if found else last
+    lines[hash(b"".join(open_line))] += 1
     n = sum(words.values())
     for word, times in words.items():
         chars += times * len(word)

@@ -302,8 +302,11 @@ def shard_links(spark: SparkSession, nodes: DataFrame, n: int, least: float, sha
 
 
 def audit_counts(spark: SparkSession, nodes: DataFrame, least: float, audit: int) -> DataFrame:
-    """a, true: links of a bounded set of query nodes, by comparison with all nodes in blocks."""
-    asked = nodes.filter("id % 100 = 0").orderBy(F.xxhash64("id"), "id").limit(audit).select("id", "embedding").toPandas()
+    """a, true: links of a bounded set of query nodes, by comparison with all nodes in blocks.
+
+    Nodes are drawn by a hash of their id, those with an id divisible by 100 first, so that there are always some.
+    """
+    asked = nodes.orderBy(F.col("id") % 100 != 0, F.xxhash64("id"), "id").limit(audit).select("id", "embedding").toPandas()
     shared = spark.sparkContext.broadcast((asked["id"].to_numpy(), [np.array(v) for v in asked["embedding"]]))
 
     def run(batches):
