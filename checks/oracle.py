@@ -538,6 +538,11 @@ FROM lineitem JOIN o_log o ON o.id = l_orderkey""")
 
 add("s05_stream_current_orders", "SELECT * FROM o")
 add("s06_stream_current_items", "SELECT * FROM i")
+add("s08_throttled_stream", "SELECT CAST(3 AS BIGINT) AS batches, count(*) AS events FROM orders")
+for name in ("s10_one_topic_current_orders", "d06_resumed_with_late_versions"):
+    add(name, "SELECT * FROM o")
+add("d05_restarted_sync", "SELECT * FROM o_log")
+add("d01b_stream_first_seen_items", "SELECT id, min(cdc_ts_ms) AS cdc_ts_ms FROM i_log GROUP BY id")
 add("d01_stream_first_seen", "SELECT l_orderkey AS id, min(epoch_ms(l_shipdate)) AS cdc_ts_ms FROM lineitem GROUP BY l_orderkey")
 
 # --- quality ------------------------------------------------------------------

@@ -15,7 +15,7 @@ from tidemark.functions import calendar as cal
 from tidemark.functions.money import money_text, op_label, status_label, time_text
 from tidemark.operators import dedup, partials, parsing, routing, versions
 from tidemark.plans import baskets, quality, reports, rollups, service
-from tidemark.schemas import ORDER_ITEMS, ORDER_STATUSES, ORDERS, ORDERS_LOG
+from tidemark.schemas import ORDER_ITEMS, ORDER_ITEMS_LOG, ORDER_STATUSES, ORDERS, ORDERS_LOG, TIE
 from tidemark.session import adopt, fresh_path
 from tidemark.sources import envelopes, readers, writers
 from tidemark.sources import sample_tables as st
@@ -890,6 +890,76 @@ def d01_stream_first_seen(spark, root):
     return writers.read_log(spark, f"{base}/orders", ORDERS_LOG).select("id", "cdc_ts_ms")
 
 
+@query
+def d01b_stream_first_seen_items(spark, root):
+    """First version per item, as for orders."""
+    base = fresh_path(spark, "stream-first-seen-items")
+    events = envelopes.item_envelopes(st.items_log(spark, root))
+    events.write.text(f"{base}/topics/order-items-cdc")
+    stream = readers.change_stream(spark, "order-items-cdc", path=f"{base}/topics")
+    jobs.drain(jobs.sync(stream, "order_items", base, every="5 seconds", mode="first_seen", state_partitions=8))
+    return writers.read_log(spark, f"{base}/order_items", ORDER_ITEMS_LOG).select("id", "cdc_ts_ms")
+
+
+@query
+def s10_one_topic_current_orders(spark, root):
+    """Orders and items in one keyed topic, whose reader takes the orders; each batch keeps a table of current rows by month."""
+    base, log = fresh_path(spark, "stream-one-topic"), st.orders_log(spark, root)
+    first = log.withColumns({"cdc_ts_ms": F.col("cdc_ts_ms") - 1, "status": F.lit("PENDING"), "cdc_op": F.lit("c"),
+                             "created_at": F.col("created_at") - F.expr("INTERVAL 40 DAY")}).filter("id % 50 < 10")
+    for rows in (envelopes.order_envelopes(first).unionByName(envelopes.item_envelopes(st.items_log(spark, root).filter("id % 9 = 0"))),
+                 envelopes.order_envelopes(log)):
+        rows.coalesce(4).write.mode("append").text(f"{base}/source/changes")
+    source = readers.change_stream(spark, "changes", path=f"{base}/source", max_files_per_trigger=4)
+    jobs.capture(source, f"{base}/checkpoints/capture", path=f"{base}/topics", every=None, one_topic="all-cdc", partitions=4).awaitTermination()
+    topic = readers.change_stream(spark, "topic=all-cdc/partition=*", path=f"{base}/topics", keyed=True, max_files_per_trigger=8)
+    jobs.sync(routing.route(topic, "orders"), "orders", base, every=None, state_partitions=8, after=jobs.keep_current(base, "orders")).awaitTermination()
+    return spark.read.parquet(f"{base}/current/orders").drop("yyyymm", TIE.name)
+
+
+@query
+def s08_throttled_stream(spark, root):
+    """A topic of six files read two at a time: how many batches brought how many events."""
+    base = fresh_path(spark, "stream-throttled")
+    envelopes.order_envelopes(st.orders_log(spark, root)).repartition(6).write.text(f"{base}/topics/orders-cdc")
+    stream = readers.change_stream(spark, "orders-cdc", path=f"{base}/topics", max_files_per_trigger=2)
+    query = jobs.sync(stream, "orders", base, every=None, mode="all")
+    query.awaitTermination()
+    return spark.createDataFrame([(p["rows"],) for p in jobs.progress(query) if p["rows"]], "n long").agg(
+        F.count("*").alias("batches"), F.sum("n").alias("events"))
+
+
+@query
+def d05_restarted_sync(spark, root):
+    """A sync whose first batch fails after it was written, started again from its checkpoint."""
+    base, failed = fresh_path(spark, "stream-restarted"), []
+    envelopes.order_envelopes(st.orders_log(spark, root)).write.text(f"{base}/topics/orders-cdc")
+
+    def fail_once(batch, batch_id):
+        if not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost")
+
+    def start():
+        stream = readers.change_stream(spark, "orders-cdc", path=f"{base}/topics")
+        return jobs.sync(stream, "orders", base, every=None, state_partitions=8, after=fail_once)
+
+    jobs.run_with_restarts(start, pause_s=0)
+    return writers.read_log(spark, f"{base}/orders", ORDERS_LOG).drop("yyyymm")
+
+
+@query
+def d06_resumed_with_late_versions(spark, root):
+    """A sync that is stopped and goes on from its checkpoint; what comes then holds older versions of what came before."""
+    base, log = fresh_path(spark, "stream-resumed"), st.orders_log(spark, root)
+    older = log.withColumns({"cdc_ts_ms": F.col("cdc_ts_ms") - 86_400_000, "status": F.lit("PENDING"), "cdc_op": F.lit("c")})
+    for part in (log.filter("id % 2 = 0"), log.filter("id % 2 = 1").unionByName(older.filter("id % 4 < 2"))):
+        envelopes.order_envelopes(part).write.mode("append").text(f"{base}/topics/orders-cdc")
+        stream = readers.change_stream(spark, "orders-cdc", path=f"{base}/topics")
+        jobs.sync(stream, "orders", base, every=None, state_partitions=8).awaitTermination()
+    return jobs.current_rows(spark, base, "orders")
+
+
 @query
 def p05_bad_events(spark, root):
     """A topic with broken lines, events without an image and rows without a buyer, synced; what was set aside and why."""

@@ -84,8 +84,11 @@ def _reason(schema: T.StructType) -> Column:
 
 def _columns(schema: T.StructType, keep: Sequence[str]) -> list[Column]:
     numbers = F.from_json("value", _numbers(schema))
+    # One number that grows through all files of the source log: their names end in a count, a file holds less than 4 GiB.
+    file = F.coalesce(F.regexp_extract("source.file", r"([0-9]+)$", 1).try_cast("bigint"), F.lit(0))
+    pos = coerce.to_long(F.col("source.pos"), numbers["source"]["pos"])
     known = {"source_file": F.col("source.file").alias("source_file"),
-             "source_pos": coerce.to_long(F.col("source.pos"), numbers["source"]["pos"]).alias("source_pos")}
+             "source_pos": (F.shiftleft(file, 32) + pos).alias("source_pos")}
     if "order_id" in schema.names:
         known["former_order_id"] = coerce.to_long(F.col("before.order_id"), numbers["before"]["order_id"]).alias("former_order_id")
     return [*[_typed(f, numbers) for f in schema], F.col("op").alias("cdc_op"),

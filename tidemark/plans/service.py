@@ -119,18 +119,26 @@ def user_orders(orders: DataFrame, items: DataFrame, user_id: int | None = None)
 def recent_orders(orders: DataFrame, users: DataFrame, items: DataFrame, k: int = 20) -> DataFrame:
     """The newest (order, item) rows with the buyer.
 
-    The first ``k`` rows lie within the newest ``k`` orders that have a buyer and
-    an item; those are cut out first, and items and buyers joined to them alone.
+    The first ``k`` rows lie within the newest ``k`` orders that have a buyer and an item. They
+    are looked for among the newest orders only, four times as many in each try, so that items
+    and buyers are matched with a few orders by broadcast and never shuffled.
     """
     placed = orders.select(F.col("id").alias("order_id"), "user_id", "status", "total_amount", "created_at")
-    joinable = (placed.join(items.select("order_id").distinct(), "order_id", "left_semi")
-                .join(users.select(F.col("id").alias("user_id")), "user_id", "left_semi"))
-    newest = joinable.orderBy(F.desc("created_at"), F.desc("order_id")).limit(k)
-    lines = items.join(F.broadcast(newest.select("order_id")), "order_id", "left_semi").select(
+    at = [F.desc("created_at"), F.desc("order_id")]
+    tried = 4 * k
+    while True:
+        newest = staged(placed.orderBy(*at).limit(tried), "newest-orders")
+        ids = F.broadcast(newest.select("order_id"))
+        with_items = items.select("order_id").join(ids, "order_id", "left_semi").distinct()
+        buyers = users.select(F.col("id").alias("user_id"), "username", "email").join(
+            F.broadcast(newest.select("user_id").distinct()), "user_id", "left_semi")
+        joinable = staged(newest.join(with_items, "order_id", "left_semi").join(buyers, "user_id").orderBy(*at).limit(k), "recent-orders")
+        if joinable.count() == k or newest.count() < tried:
+            break
+        tried *= 4
+    lines = items.join(F.broadcast(joinable.select("order_id")), "order_id", "left_semi").select(
         "order_id", F.col("id").alias("item_id"), "product_name", "quantity", "price", "subtotal")
-    buyers = users.select(F.col("id").alias("user_id"), "username", "email")
-    return (newest.join(lines, "order_id").join(buyers, "user_id")
-            .orderBy(F.desc("created_at"), F.desc("order_id"), "item_id").limit(k)
+    return (joinable.join(lines, "order_id").orderBy(*at, "item_id").limit(k)
             .select("order_id", "username", "email", "status", "total_amount", "created_at",
                     "product_name", "quantity", "price", "subtotal"))
 

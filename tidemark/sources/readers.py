@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EVENT_TEXT = T.StructType([T.StructField("value", T.StringType())])
+KEYED_TEXT = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType()),
+                           T.StructField("partition", T.IntegerType())])
 
 
 def jdbc_options(url: str, table: str, lower: int, upper: int, partitions: int, key: str = "id",
@@ -64,8 +66,8 @@ def kafka_options(servers: str, topic: str, start: str = "latest", max_per_trigg
 
 
 def change_stream(spark: SparkSession, topic: str, path: str | None = None, servers: str | None = None,
-                  start: str = "latest", max_files_per_trigger: int = 1000, **kafka: object) -> DataFrame:
-    """A stream of event texts: a topic, or text files below ``path/topic``.
+                  start: str = "latest", max_files_per_trigger: int = 1000, keyed: bool = False, **kafka: object) -> DataFrame:
+    """A stream of event texts: a topic, or text files below ``path/topic``; ``keyed`` files hold (key, value) by partition.
 
     A micro-batch takes a bounded number of offsets or files, which bounds what a
     stateful step shuffles, a backlog and a flood of copies included.
@@ -77,7 +79,7 @@ def change_stream(spark: SparkSession, topic: str, path: str | None = None, serv
     if servers is not None:
         raw = spark.readStream.format("kafka").options(**kafka_options(servers, topic, start, **kafka)).load()
         return raw.select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("ingest_ts"))
-    reader = (spark.readStream.format("text").schema(EVENT_TEXT)
+    reader = (spark.readStream.format("json" if keyed else "text").schema(KEYED_TEXT if keyed else EVENT_TEXT)
               .option("maxFilesPerTrigger", max_files_per_trigger))
     return reader.load(f"{path}/{topic}").withColumn("ingest_ts", F.current_timestamp())
 

@@ -22,9 +22,11 @@ def drop_repeats(rows: DataFrame, ingest: str = "ingest_ts", delay: str = "10 mi
 def first_seen(rows: DataFrame, schema: T.StructType, ttl_ms: int = FIRST_SEEN_TTL_MS) -> DataFrame:
     """Pass the first row of an id; hold back the others for ``ttl_ms`` of run time.
 
-    The period starts when a row passes and is not extended by rows held back.
-    Updates and deletes within the period are lost: this operator is offered for
-    the behaviour itself, :func:`drop_repeats` is the standard one.
+    The period starts when a row passes and is not extended by rows held back. Of rows that
+    arrive in one micro-batch the one of the lowest version passes. Updates and deletes within
+    the period are lost: this operator is offered for the behaviour itself, :func:`drop_repeats`
+    is the standard one. That one's state on the JVM can't hold a period of run time: it ends
+    with the watermark, which in a quiet stream stands still for as long as nothing arrives.
     """
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -33,29 +35,14 @@ def first_seen(rows: DataFrame, schema: T.StructType, ttl_ms: int = FIRST_SEEN_T
             self.seen = handle.getValueState("seen", "flag boolean", ttl_ms)
 
         def handleInputRows(self, key, rows, timerValues):
-            first = None
-            for pdf in rows:
-                best = pdf.sort_values("cdc_ts_ms", kind="stable").head(1)
-                if first is None or best["cdc_ts_ms"].iloc[0] < first["cdc_ts_ms"].iloc[0]:
-                    first = best
-            if first is not None and not self.seen.exists():
+            if not self.seen.exists():  # rows of an id stream by; one of them is held
                 self.seen.update((True,))
-                yield first
+                yield min(rows, key=lambda r: (r.cdc_ts_ms is None, r.cdc_ts_ms))
 
         def close(self):
             pass
 
-    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass",
-                               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-
-    # Within one micro-batch only the first row of an id can pass, so a busy id
-    # leaves each Arrow batch as one row.
-    def thin(batches):
-        for pdf in batches:
-            yield pdf.sort_values("cdc_ts_ms", kind="stable").drop_duplicates("id", keep="first")
-
-    thinned = rows.select(*schema.names).mapInPandas(thin, schema)
-    return thinned.groupBy("id").transformWithStateInPandas(
+    return rows.select(*schema.names).groupBy("id").transformWithState(
         FirstSeen(), outputStructType=schema, outputMode="append", timeMode="processingTime")
 
 

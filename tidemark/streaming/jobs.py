@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections import deque
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -34,18 +34,20 @@ def trigger(every: str | None) -> dict:
 
 def capture(events: DataFrame, checkpoint: str, path: str | None = None, servers: str | None = None,
             every: str | None = "30 seconds", keyed: bool = True, one_topic: str | None = None,
-            **options: str) -> StreamingQuery:
-    """Route a stream of change events to the topics of their tables."""
+            partitions: int | None = None, **options: str) -> StreamingQuery:
+    """Route a stream of change events to the topics of their tables, or all to ``one_topic``, whose readers route them."""
     tagged = routing.tagged(events, list(writers.TOPICS))
     rows = writers.topic_rows(tagged, one_topic=one_topic, key=writers.event_key() if keyed else None)
-    return writers.publish(rows, checkpoint, path, servers, **options).trigger(**trigger(every)).start()
+    return writers.publish(rows, checkpoint, path, servers, partitions, **options).trigger(**trigger(every)).start()
 
 
-def sync(events: DataFrame, table: str, base: str, every: str | None = writers.STANDARD.trigger, mode: str = "versions",
+def sync(events: DataFrame, table: str, base: str, every: str | None = "profile", mode: str = "versions",
          ttl_ms: int = dedup.FIRST_SEEN_TTL_MS, after: Callable[[DataFrame, int], None] | None = None,
-         state_partitions: int | None = None) -> StreamingQuery:
+         state_partitions: int | None = None, profile: writers.SinkProfile = writers.STANDARD) -> StreamingQuery:
     """Parse a topic and append its rows to the change log below ``base``.
 
+    ``every`` is a trigger interval, None to work off what is there, or by default that of the ``profile``.
+
     ``mode``: ``versions`` drops repeated (id, version) pairs, ``first_seen`` keeps
     the first row of an id per period, ``all`` keeps everything. State and progress
     live in the checkpoint, from which a restart goes on. Events are parsed once: those
@@ -65,7 +67,23 @@ def sync(events: DataFrame, table: str, base: str, every: str | None = writers.S
     sink = writers.log_sink(f"{base}/{table}", required, after, writers.run_of(events.sparkSession, checkpoint))
     return _start(rows.writeStream.foreachBatch(sink).outputMode("append")
                   .option("checkpointLocation", checkpoint)
-                  .trigger(**trigger(every)), events.sparkSession, state_partitions)
+                  .trigger(**trigger(profile.trigger if every == "profile" else every)), events.sparkSession, state_partitions)
+
+
+def keep_current(base: str, table: str, ties: Sequence[str] = (TIE.name,)) -> Callable[[DataFrame, int], None]:
+    """For ``after`` of :func:`sync`: a table of current rows by month below ``base/current``, of which each batch rewrites
+    the months it touches. The batch may run again."""
+    path = f"{base}/current/{table}"
+
+    def after(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.drop("yyyymm")
+        if rows.isEmpty():
+            return
+        if not writers.exists(batch.sparkSession, f"{path}/_SUCCESS"):
+            versions.write_by_month(latest(rows, ties=ties), path)
+        else:
+            versions.compact_changes(batch.sparkSession, path, rows, ties=ties)
+    return after
 
 
 ARRIVALS = "arrivals"
