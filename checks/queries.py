@@ -999,7 +999,17 @@ def _history(spark, root) -> list[DataFrame]:
 
 
 def _kept(spark, root) -> str:
-    """The folder of rollups that a stream kept over the whole history, a batch for each of its parts."""
+    """The folder of the four rollups that one stream kept over the whole history, a batch for each of its parts."""
+    run = spark.sparkContext.applicationId, root
+    if run not in KEPT:
+        KEPT[run] = _keep(spark, root)
+    return KEPT[run]
+
+
+KEPT: dict[tuple[str, str], str] = {}
+
+
+def _keep(spark, root) -> str:
     base, files = fresh_path(spark, "kept"), 8
     for part in _history(spark, root):
         part.repartition(files).write.mode("append").text(f"{base}/topics/changes")

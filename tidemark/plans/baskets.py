@@ -17,8 +17,7 @@ Joining the items of an order with themselves squares a big order. Instead:
    orders. Should the big orders be so many that this bound says nothing, the
    limit doubles until it does, so that the fewest and biggest stay unpaired:
    the biggest order is never paired where pairs of two orders or more are asked for.
-4. A name in fewer orders than a pair must have is left out before pairing.
-5. The subtotals are needed for the ``k`` pairs only, and come from running sums.
+4. The subtotals are needed for the ``k`` pairs only, and come from running sums.
 
 Every step is exact; the limit only chooses the way.
 """
@@ -41,13 +40,9 @@ def _recent_orders_only(lines: DataFrame, recent: Column) -> DataFrame:
     return lines.join(ids, "order_id", "left_semi")
 
 
-def _names_per_order(lines: DataFrame, recent: Column, min_orders: int) -> DataFrame:
+def _names_per_order(lines: DataFrame, recent: Column) -> DataFrame:
     names = lines.groupBy("order_id", "product_name").agg(
         F.min(F.when(recent, F.col("id"))).alias("low"), F.max("id").alias("high"))
-    if min_orders > 1:
-        names = staged(names, "basket-all-names")
-        often = names.groupBy("product_name").agg(F.count("*").alias("n")).filter(F.col("n") >= min_orders)
-        names = names.join(often.select("product_name"), "product_name", "left_semi")
     sizes = names.groupBy("order_id").agg(F.count("*").alias("n_names"))
     return names.join(sizes, "order_id")
 
@@ -143,7 +138,7 @@ def bought_together(items: DataFrame, as_of, days: int = 30, min_orders: int = 3
     """The ``k`` name pairs found in the most orders, ordered by item id within a pair."""
     recent = cal.since(F.col("created_at"), as_of, f"{days} DAY")
     lines = _lines(items, recent)
-    best = _best(pair_counts(_names_per_order(lines, recent, min_orders), _by_item_id(), k, basket_limit, min_orders), min_orders, k)
+    best = _best(pair_counts(_names_per_order(lines, recent), _by_item_id(), k, basket_limit, min_orders), min_orders, k)
     revenue = _bundle_revenue(lines, recent, best, id_range)
     return best.join(revenue, ["product_a", "product_b"]).orderBy(
         F.desc("co_purchase_count"), "product_a", "product_b")
@@ -155,7 +150,7 @@ def bought_together_unordered(items: DataFrame, as_of, days: int = 30, min_order
     items; the mean is that of both names' subtotals per order."""
     recent = cal.since(F.col("created_at"), as_of, f"{days} DAY")
     lines = _lines(items, recent)
-    best = _best(pair_counts(_names_per_order(lines, recent, min_orders), _unordered(), k, basket_limit, min_orders), min_orders, k)
+    best = _best(pair_counts(_names_per_order(lines, recent), _unordered(), k, basket_limit, min_orders), min_orders, k)
     per_order = (lines.join(F.broadcast(_roles(best)), "product_name")
                  .groupBy("product_a", "product_b", "order_id").agg(
                      F.sum("subtotal").alias("amount"), F.count_distinct("is_b").alias("names"),

@@ -128,17 +128,16 @@ def recent_orders(orders: DataFrame, users: DataFrame, items: DataFrame, k: int
     tried = 4 * k
     while True:
         newest = staged(placed.orderBy(*at).limit(tried), "newest-orders")
-        ids = F.broadcast(newest.select("order_id"))
-        with_items = items.select("order_id").join(ids, "order_id", "left_semi").distinct()
+        lines = staged(items.join(F.broadcast(newest.select("order_id")), "order_id", "left_semi").select(
+            "order_id", F.col("id").alias("item_id"), "product_name", "quantity", "price", "subtotal"), "newest-lines")
         buyers = users.select(F.col("id").alias("user_id"), "username", "email").join(
             F.broadcast(newest.select("user_id").distinct()), "user_id", "left_semi")
-        joinable = staged(newest.join(with_items, "order_id", "left_semi").join(buyers, "user_id").orderBy(*at).limit(k), "recent-orders")
-        if joinable.count() == k or newest.count() < tried:
+        joinable = staged(newest.join(lines.select("order_id").distinct(), "order_id", "left_semi").join(buyers, "user_id"), "recent-orders")
+        if joinable.count() >= k or newest.count() < tried:
             break
         tried *= 4
-    lines = items.join(F.broadcast(joinable.select("order_id")), "order_id", "left_semi").select(
-        "order_id", F.col("id").alias("item_id"), "product_name", "quantity", "price", "subtotal")
-    return (joinable.join(lines, "order_id").orderBy(*at, "item_id").limit(k)
+    first = joinable.orderBy(*at).limit(k)
+    return (lines.join(F.broadcast(first), "order_id").orderBy(*at, "item_id").limit(k)
             .select("order_id", "username", "email", "status", "total_amount", "created_at",
                     "product_name", "quantity", "price", "subtotal"))
 
