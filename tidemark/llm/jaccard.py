@@ -203,3 +203,24 @@ def near_groups(spark: SparkSession, docs: DataFrame, width: int = 4, percent: i
 
 def op10_ngram_jaccard(spark: SparkSession, root: str) -> DataFrame:
     return near_groups(spark, documents(spark, root))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS id, doc_id AS root FROM documents UNION SELECT b, root FROM reached JOIN both_ways ON a = id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, root AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT id, min(root) AS root FROM reached GROUP BY id) ON id = d.doc_id
+"""

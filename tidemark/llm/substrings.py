@@ -318,3 +318,27 @@ def substring_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def op8_suffix_array_dedup(spark: SparkSession, root: str) -> DataFrame:
     return substring_dedup(spark, documents(spark, root))
+
+
+OP8_SQL = r"""
+WITH raw AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT doc_id, h, length(h) // 2 AS n FROM raw),
+starts AS (SELECT doc_id, unnest(range(0, n - 99)) AS place FROM sized WHERE n >= 100),
+windows AS (SELECT doc_id, place, md5(substr(h, 2 * place + 1, 200)) AS m FROM starts JOIN sized USING (doc_id)),
+again AS (SELECT doc_id, place FROM (SELECT doc_id, place, row_number() OVER (PARTITION BY m ORDER BY doc_id, place) AS nth FROM windows) WHERE nth > 1),
+runs AS (
+  SELECT doc_id, min(place) AS low, max(place) + 100 AS high
+  FROM (SELECT doc_id, place, sum(fresh) OVER (PARTITION BY doc_id ORDER BY place) AS run
+        FROM (SELECT doc_id, place, CASE WHEN place <= lag(place) OVER (PARTITION BY doc_id ORDER BY place) + 100 THEN 0 ELSE 1 END AS fresh FROM again))
+  GROUP BY doc_id, run),
+cut AS (
+  SELECT doc_id, high AS low, lead(low) OVER (PARTITION BY doc_id ORDER BY low) AS high FROM runs
+  UNION ALL SELECT doc_id, 0, min(low) FROM runs GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * low + 1, 2 * (coalesce(high, n) - low)), '' ORDER BY low) AS rest
+  FROM cut JOIN sized USING (doc_id) GROUP BY doc_id),
+totals AS (SELECT doc_id, sum(high - low) AS gone, count(*) AS spans FROM runs GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM sized LEFT JOIN totals USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
