@@ -761,7 +761,7 @@ def k01_row_reconciliation(spark, root):
         "updated_at": F.when(~shifted, F.col("updated_at"))})
     target = (target.unionByName(target.filter("id % 31 = 0"))
               .unionByName(source.filter("id % 41 = 0").withColumn("id", key + 1_000_000_000)))
-    return quality.row_reconciliation(source, target, ["user_id", "status", "total_amount", "created_at", "updated_at", "deleted_at"])
+    return quality.row_differences(source, target, ["user_id", "status", "total_amount", "created_at", "updated_at", "deleted_at"])
 
 
 @query

@@ -90,7 +90,7 @@ def test_pages_by_last_order_equal_pages_by_number(spark, seed_orders, seed_item
 def test_reconciliation_names_what_counts_hide(spark):
     rows = spark.createDataFrame([(1, "a", None, "c"), (2, "b", None, "d"), (3, None, "x", "c"), (4, "e", "e", "c")], "id long, p string, q string, cdc_op string")
     target = spark.createDataFrame([(1, "a", None, "c"), (1, "a", None, "c"), (2, "b", None, "d"), (3, "x", None, "c"), (5, "f", None, "c")], rows.schema)
-    got = {tuple(r) for r in quality.row_reconciliation(rows, target, ["p", "q"]).collect()}
+    got = {tuple(r) for r in quality.row_differences(rows, target, ["p", "q"]).collect()}
     assert got == {(1, "duplicate", 1, 2), (3, "different", 1, 1), (4, "missing", 1, 0), (5, "surplus", 0, 1)}
     assert quality.row_reconciliation(rows, rows, ["p", "q"]).count() == 0
     live = quality.count_reconciliation(rows.filter("id < 3"), target.filter("id < 3")).first()

@@ -88,7 +88,7 @@ def _columns(schema: T.StructType, keep: Sequence[str]) -> list[Column]:
     file = F.coalesce(F.regexp_extract("source.file", r"([0-9]+)$", 1).try_cast("bigint"), F.lit(0))
     pos = coerce.to_long(F.col("source.pos"), numbers["source"]["pos"])
     known = {"source_file": F.col("source.file").alias("source_file"),
-             "source_pos": (F.shiftleft(file, 32) + pos).alias("source_pos")}
+             "source_pos": pos.alias("source_pos"), "source_place": (F.shiftleft(file, 32) + pos).alias("source_place")}
     if "order_id" in schema.names:
         known["former_order_id"] = coerce.to_long(F.col("before.order_id"), numbers["before"]["order_id"]).alias("former_order_id")
     return [*[_typed(f, numbers) for f in schema], F.col("op").alias("cdc_op"),
@@ -99,8 +99,8 @@ def _columns(schema: T.StructType, keep: Sequence[str]) -> list[Column]:
 def typed_rows(events: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """Typed log rows of every event that has an image.
 
-    ``keep`` names further columns: of ``events``, ``source_file``/``source_pos``, or ``former_order_id``,
-    the order an item belonged to before the change.
+    ``keep`` names further columns: of ``events``, ``source_file``/``source_pos``, ``source_place`` (the position over
+    all files), or ``former_order_id``, the order an item belonged to before the change.
     """
     return _imaged(events, schema).filter(_has_image(schema)).select(*_columns(schema, keep))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
 from tidemark.operators.staging import staged
+from tidemark.schemas import TIE
 
 
 def not_deleted(prefix: str = "") -> Column:
@@ -78,7 +79,7 @@ def compact(spark: SparkSession, log_path: str, out_root: str, key: str = "id",
     rows = spark.read.parquet(log_path)
     if "rejected" in rows.columns:
         rows = rows.filter("not rejected").drop("run", "batch_id", "rejected", "yyyymm")
-    rows = latest(rows, key, version, ties or [c for c in ("source_pos",) if c in rows.columns])
+    rows = latest(rows, key, version, ties or [c for c in (TIE.name,) if c in rows.columns])
     if keep_months is not None:
         rows = retain_months(rows, as_of, keep_months)
     folder = f"{out_root}/snapshot-{uuid.uuid4().hex}"

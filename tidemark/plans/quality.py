@@ -20,7 +20,7 @@ def count_reconciliation(source: DataFrame, target: DataFrame) -> DataFrame:
     """Live source rows against live target rows, with a verdict on the difference.
 
     Equal counts say nothing of the rows: a missing one and a repeated one make up for each
-    other, which :func:`row_reconciliation` tells apart.
+    other, which :func:`row_differences` tells apart.
     """
     there = alive(source) if "cdc_op" in source.columns else source
     both = (there.select(F.lit(1).alias("s"), F.lit(0).alias("t"))
@@ -31,7 +31,12 @@ def count_reconciliation(source: DataFrame, target: DataFrame) -> DataFrame:
         "verdict", F.when(gap == 0, "consistent").when(F.abs(gap) <= 10, "minor").otherwise("severe"))
 
 
-def row_reconciliation(source: DataFrame, target: DataFrame, columns: Sequence[str], key: str = "id", buckets: int = 1 << 16) -> DataFrame:
+def row_reconciliation(source: DataFrame, target: DataFrame, columns: Sequence[str], key: str = "id") -> DataFrame:
+    """Keys on which two tables differ, with the issue, see :func:`row_differences`."""
+    return row_differences(source, target, columns, key).select(key, "issue")
+
+
+def row_differences(source: DataFrame, target: DataFrame, columns: Sequence[str], key: str = "id", buckets: int = 1 << 16) -> DataFrame:
     """Keys on which two tables differ, with the issue and how many rows each side has.
 
     ``missing``: fewer rows than in the source; ``surplus``: no row in the source; ``duplicate``:

@@ -56,7 +56,7 @@ ORDER_ITEMS_LOG = T.StructType(ITEM_FIELDS + _TAIL + _CHANGE)
 
 # The log also keeps the position of a change in its source, over all files of the source log:
 # of two changes of one row in the same millisecond, the later one wins.
-TIE = T.StructField("source_pos", T.LongType())
+TIE = T.StructField("source_place", T.LongType())
 
 USERS = T.StructType([
     T.StructField("id", T.LongType()),

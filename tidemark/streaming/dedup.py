@@ -6,16 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.schemas import TIE
+
 FIRST_SEEN_TTL_MS = 600_000
 
 
 def drop_repeats(rows: DataFrame, ingest: str = "ingest_ts", delay: str = "10 minutes") -> DataFrame:
-    """Drop repeats of one change, (id, version, source position), that arrive within ``delay``.
+    """Drop repeats of one change, (id, version, place in the source log), that arrive within ``delay``.
 
     The watermark runs on arrival time. On the time of the change it would drop
     late versions, which must reach the log. An event that gave no row is known by its text.
     """
-    more = [c for c in ("source_pos", "event") if c in rows.columns]
+    more = [c for c in (TIE.name, "event") if c in rows.columns]
     return rows.withWatermark(ingest, delay).dropDuplicatesWithinWatermark(["id", "cdc_ts_ms", *more])
 
 
