@@ -131,8 +131,9 @@ def drain(query: StreamingQuery, poll_s: float = 0.5, limit_s: float | None = No
             last = query.lastProgress
             if last is not None and last["numInputRows"] > 0:
                 started = True
-            elif (started or last is not None) and not query.status["isTriggerActive"]:
-                return  # a progress without rows: nothing new, or nothing at all
+            elif (started or (last is not None and (last["batchId"] > 0 or "addBatch" not in last["durationMs"]))) \
+                    and not query.status["isTriggerActive"]:
+                return  # nothing new, or a trigger that found nothing to make a first batch of
             time.sleep(poll_s)
     finally:
         query.stop()
