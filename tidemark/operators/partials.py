@@ -20,14 +20,16 @@ def merge_distinct_rows(states: DataFrame, keys: Sequence[str], value: str, name
 
 
 def distinct_bitmaps(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Exact distinct state of dense integer ids as fixed-size bitmaps."""
-    return rows.groupBy(*keys, F.bitmap_bucket_number(value).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bits"))
+    """Exact distinct state of integer ids as bitmaps: a word for 64 ids, so that a key with few ids takes few bytes."""
+    at, word = F.col(value).cast("bigint"), F.lit(0).cast("bigint")
+    bit = F.expr(f"shiftleft(1L, CAST(CAST(`{value}` AS bigint) & 63L AS int))")
+    states = rows.select(*keys, F.shiftright(at, 6).alias("bucket"), F.coalesce(bit, word).alias("bits"))
+    return states.groupBy(*keys, "bucket").agg(F.bit_or("bits").alias("bits"))
 
 
 def merge_distinct_bitmaps(states: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    merged = states.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-    return merged.groupBy(*keys).agg(F.sum(F.bitmap_count("bits")).cast("bigint").alias(name))
+    merged = states.groupBy(*keys, "bucket").agg(F.bit_or("bits").alias("bits"))
+    return merged.groupBy(*keys).agg(F.sum(F.bit_count("bits")).cast("bigint").alias(name))
 
 
 def distinct_sketches(rows: DataFrame, keys: Sequence[str], value: str, lg_k: int = 12) -> DataFrame:
