@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import partials
 from tidemark.sources import readers, writers
+from tidemark.streaming import jobs
 
 
 def test_bitmap_states_of_scattered_ids_stay_small(spark):
@@ -23,3 +24,13 @@ def test_topic_files_are_compressed_and_read_back(spark, tmp_path):
     assert files and all(f.suffix == ".gz" for f in files)
     assert sum(f.stat().st_size for f in files) * 3 < sum(len(gzip.open(f).read()) for f in files)
     assert {r.value for r in readers.event_files(spark, str(tmp_path), "orders-cdc").collect()} == {r.value for r in events.collect()}
+
+
+def test_a_published_text_topic_is_compressed(spark, tmp_path):
+    (tmp_path / "source").mkdir()
+    (tmp_path / "source" / "1.txt").write_text('{"op":"c","after":{"id":1},"source":{"table":"orders"}}\n' * 3)
+    events = readers.change_stream(spark, "source", path=str(tmp_path))
+    jobs.capture(events, str(tmp_path / "c"), path=str(tmp_path / "topics"), every=None).awaitTermination()
+    files = list((tmp_path / "topics" / "topic=orders-cdc").glob("part-*"))
+    assert files and all(f.suffix == ".gz" for f in files)
+    assert readers.event_files(spark, str(tmp_path / "topics"), "topic=orders-cdc").count() == 3
