@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
 from tidemark.functions.money import cents, ratio, total, whole
+from tidemark.operators.staging import staged
 from tidemark.plans.lines import alive, orders_with_totals, repeats, sold_lines
 
 PRODUCT_DAY = ("sale_date", "product_id")
@@ -211,7 +212,9 @@ def refreshed(items: DataFrame, orders: DataFrame, keys: DataFrame) -> DataFrame
 
 def apply_refresh(rollup: DataFrame, items: DataFrame, orders: DataFrame, changed_orders: DataFrame,
                   stale_keys: DataFrame) -> DataFrame:
-    """The rollup with its touched keys replaced by their recomputed rows."""
+    """The rollup with its touched keys replaced by their recomputed rows. Items are worked out once, for both steps."""
+    unread = [c for c in ("updated_at", "deleted_at", "cdc_ts_ms") if c in items.columns]
+    items = staged(items.drop(*unread), "refresh-items")
     keys = touched_keys(items, changed_orders, stale_keys)
     kept = rollup.join(keys, list(PRODUCT_DAY), "left_anti")
     return kept.unionByName(refreshed(items, orders, keys))
