@@ -3,7 +3,8 @@
 A set's sketch XORs the hashes of its members. A member that only one of two sets holds
 changes one chunk of the sketch, so sets that differ in d members have at most d different
 chunks: with d + 1 chunks one at least is equal (pigeonhole), and sets that share a chunk are
-candidates. A second sketch of one bit a member, folded to 512 bits, bounds the difference of a
+candidates. Keys that many dissimilar sets share, those of a common passage, give way to the sets'
+rarest members (prefix filter). A second sketch of one bit a member, folded to 512 bits, bounds the difference of a
 candidate pair from below. What passes is compared member by member.
 """
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import component_rounds, cuts, documents, join_counted, mix64, staged
 
 SKETCH_BITS = 512
+COMMON = 200_000  # members whose frequency is known to all tasks
 
 
 class _WordHashes(dict):
@@ -106,17 +108,19 @@ def sketched(docs: DataFrame, width: int, percent: int) -> DataFrame:
         run, "doc_id long, size long, fp long, sketch binary, keys array<long>")
 
 
-def shared_only(batches):
-    """Of a partition sorted by (key, fp), the rows of keys that several different sets have, each once."""
+def shared_only(batches, more=()):
+    """Of a partition sorted by (key, fp), the rows of keys that several different sets have, each once; ``more`` are columns to keep."""
     held, sent = None, False  # the last row, and whether it was sent
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, fp = batch.column("key").to_numpy(), batch.column("fp").to_numpy()
+        rows = [batch.column(c).to_numpy() for c in ("key", "fp", *more)]
         if held is not None:
-            key, fp = np.append(held[0], key), np.append(held[1], fp)
+            rows = [np.append(h, r) for h, r in zip(held, rows, strict=True)]
+        key, fp = rows[:2]
         fresh = np.append(True, (key[1:] != key[:-1]) | (fp[1:] != fp[:-1]))
-        key, fp = key[fresh], fp[fresh]
+        rows = [r[fresh] for r in rows]
+        key = rows[0]
         same = key[1:] == key[:-1]
         several = np.append(same, False) | np.append(False, same)
         if held is not None and sent:
@@ -124,8 +128,8 @@ def shared_only(batches):
         out = several.copy()
         if held is not None and sent:
             out[0] = False
-        held, sent = (key[-1], fp[-1]), bool(several[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(fp[out])], names=["key", "node"])
+        held, sent = [r[-1] for r in rows], bool(several[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(r[out]) for r in rows], names=["key", "node", *more])
 
 
 def bounded(batches, percent: int):
@@ -149,6 +153,58 @@ def exact(batches, percent: int):
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
+def ranked(members: np.ndarray, common: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Members from the rarest to the most frequent, equal ones by hash; those that aren't among the ``common`` ones, sorted, come first."""
+    if not len(common):
+        return members
+    at = np.minimum(np.searchsorted(common, members), len(common) - 1)
+    return members[np.lexsort((members, np.where(common[at] == members, times[at], 0)))]
+
+
+def rare_keys(spark: SparkSession, sets: DataFrame, percent: int) -> tuple[DataFrame, str]:
+    """(key, node, size, rest) of sets (fp, members): the rarest n - ceil(percent n / 100) + 1 members, one of which similar sets
+    share, with the number of members from there on. The first member that two sets share leaves them no more than the lesser
+    rest in common, which is the condition on a pair that comes with the keys.
+
+    Any order of all members will do, as long as it is one for all sets: the counts of the
+    COMMON most frequent members at most go to the tasks, the others are ordered by hash.
+    """
+    def counted(batches):
+        for batch in batches:
+            found, n = np.unique(np.frombuffer(b"".join(batch.column("members").to_pylist()), np.uint64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["member", "n"])
+
+    counts = staged(spark, sets.select("members").mapInArrow(counted, "member long, n long").groupBy("member").agg(
+        F.sum("n").alias("n")).filter("n > 1").withColumn("size", F.expr("cast(floor(log2(n)) as int)")), "counts")
+    least, held = 64, 0  # the lowest power of two whose members are few enough
+    for size, n in sorted(map(tuple, counts.groupBy("size").count().collect()), reverse=True):  # 63 rows at most
+        held += n
+        if held > COMMON:
+            break
+        least = size
+    top = counts.filter(F.col("size") >= least).select("member", "n").toPandas()
+    top_members = top["member"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(top_members)
+    shared = spark.sparkContext.broadcast((top_members[order], top["n"].to_numpy()[order]))
+
+    def prefixes(batches):
+        for batch in batches:
+            found = [np.frombuffer(m, np.uint64) for m in batch.column("members").to_pylist()]
+            if not found:
+                continue
+            rarest = [ranked(m, *shared.value)[:len(m) - -(-percent * len(m) // 100) + 1] for m in found]
+            n, taken = np.array([len(m) for m in found]), np.array([len(r) for r in rarest])
+            size, place = np.repeat(n, taken), np.concatenate([np.arange(k) for k in taken])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rarest).view(np.int64)), pa.array(np.repeat(batch.column("fp").to_numpy(), taken)),
+                                              pa.array(size), pa.array(size - place)], names=["key", "fp", "size", "rest"])
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = sets.select("fp", "members").mapInArrow(prefixes, "key long, fp long, size long, rest long")
+    rare = keyed.repartition(parts, "key").sortWithinPartitions("key", "fp").mapInArrow(
+        lambda rows: shared_only(rows, ("size", "rest")), "key long, node long, size long, rest long")
+    return staged(spark, rare, "rare"), f"least(rest_a, rest_b) * {100 + percent} >= (size_a + size_b) * {percent}"
+
+
 def similar_sets(spark: SparkSession, marked: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(id, component_id) over set fingerprints."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -176,7 +232,13 @@ def similar_sets(spark: SparkSession, marked: DataFrame, sets: DataFrame, docs:
         full = pairs.join(held.toDF("a", "ma"), "a").join(held.toDF("b", "mb"), "b").select("a", "b", "ma", "mb")
         return full.mapInArrow(lambda rows: exact(rows, percent), "a long, b long")
 
-    return component_rounds(spark, shared, verify)
+    def rekeyed(nodes):
+        wanted = nodes.withColumnRenamed("node", "fp")
+        if nodes.count() <= 1_000_000:  # 8 bytes a row
+            wanted = F.broadcast(wanted)
+        return rare_keys(spark, held.join(wanted, "fp", "left_semi"), percent)
+
+    return component_rounds(spark, shared, verify, rekeyed=rekeyed)
 
 
 def near_groups(spark: SparkSession, docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
