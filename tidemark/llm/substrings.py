@@ -21,7 +21,7 @@ from tidemark.llm.suffixes import common_prefixes, suffix_array
 LENGTH, GRAM = 100, 24
 MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 BASE = 0x9E3779B97F4A7C15
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20  # a suffix array takes some 80 times as much
 HOT = 10_000  # an anchor with more different contexts, of up to 176 bytes, goes to no suffix array
 
 
