@@ -1,5 +1,6 @@
 """What one call of a task's inner step allocates, as many run at once in an executor."""
 
+import pickle
 import random
 import tracemalloc
 
@@ -58,3 +59,12 @@ def test_the_fixed_model_scores_as_its_counts_say():
             p = (p + (1 - part[0]) * grid[0] + part[0] * grid[1]) / 2  # without learning, the map is its grid
             total += np.log10(p if bit[at, j] else 1 - p)
         assert abs(model.fixed().log10(fresh[at:at + 1])[0] - total) < 1e-9
+
+
+def test_a_sent_scorer_is_read_without_copies():
+    rng = np.random.default_rng(3)
+    model = mixing.Mixer(rng.integers(0, 5, mixing.ORDERS << (mixing.SLOTS_LOG2 + 1)).astype(np.float32)).fixed()
+    raw = pickle.dumps(model, 5)
+    assert peak_mb(lambda: pickle.loads(raw)) < 1.3 * (model.stretched.nbytes + model.gates.nbytes) / 1e6
+    keys, _ = mixing.strings([b"some words"])
+    assert (pickle.loads(raw).log10(keys) == model.log10(keys)).all()
