@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import component_rounds, cuts, documents, join_counted, mix64, staged
 
 SKETCH_BITS = 512
-COMMON = 200_000  # members whose frequency is known to all tasks
+SLOTS_LOG2, BLOCK = 18, 4096  # counts of members by their highest bits, known to all tasks; slots of one row
 
 
 class _WordHashes(dict):
@@ -153,12 +153,44 @@ def exact(batches, percent: int):
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def ranked(members: np.ndarray, common: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """Members from the rarest to the most frequent, equal ones by hash; those that aren't among the ``common`` ones, sorted, come first."""
+def ranked(members: np.ndarray, common: np.ndarray, times: np.ndarray, shift: int = 0) -> np.ndarray:
+    """Members from the rarest to the most frequent, equal ones by hash; those that, without their lowest ``shift`` bits,
+    aren't among the ``common`` ones, sorted, come first."""
     if not len(common):
         return members
-    at = np.minimum(np.searchsorted(common, members), len(common) - 1)
-    return members[np.lexsort((members, np.where(common[at] == members, times[at], 0)))]
+    names = members >> np.uint64(shift)
+    at = np.minimum(np.searchsorted(common, names), len(common) - 1)
+    return members[np.lexsort((members, np.where(common[at] == names, times[at], 0)))]
+
+
+def slot_counts(spark: SparkSession, sets: DataFrame) -> np.ndarray:
+    """How often members of the sets fall into each slot. A task's counts, and their sums, are rows of BLOCK slots."""
+    def added(batches):
+        total = np.zeros(((1 << SLOTS_LOG2) // BLOCK, BLOCK), np.int64)
+        for batch in batches:
+            for block, raw in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                total[block] += np.frombuffer(raw, np.int64)
+        yield from _filled(total)
+
+    def counted(batches):
+        total = np.zeros(1 << SLOTS_LOG2, np.int64)
+        for batch in batches:
+            for raw in batch.column("members").to_pylist():
+                np.add.at(total, (np.frombuffer(raw, np.uint64) >> np.uint64(64 - SLOTS_LOG2)).astype(np.int64), 1)
+        yield from _filled(total.reshape(-1, BLOCK))
+
+    schema = "block int, counts binary"
+    sums = sets.select("members").mapInArrow(counted, schema).repartition(8, "block").mapInArrow(added, schema)
+    total = np.zeros(1 << SLOTS_LOG2, np.int64)
+    for row in sums.collect():  # a row a block
+        total[row.block * BLOCK:(row.block + 1) * BLOCK] = np.frombuffer(row.counts, np.int64)
+    return total
+
+
+def _filled(total: np.ndarray):
+    """The blocks that hold a count."""
+    found = np.flatnonzero(total.any(1))
+    yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array([total[b].tobytes() for b in found], pa.binary())], names=["block", "counts"])
 
 
 def rare_keys(spark: SparkSession, sets: DataFrame, percent: int) -> tuple[DataFrame, str]:
@@ -166,33 +198,20 @@ def rare_keys(spark: SparkSession, sets: DataFrame, percent: int) -> tuple[DataF
     share, with the number of members from there on. The first member that two sets share leaves them no more than the lesser
     rest in common, which is the condition on a pair that comes with the keys.
 
-    Any order of all members will do, as long as it is one for all sets: the counts of the
-    COMMON most frequent members at most go to the tasks, the others are ordered by hash.
+    Any order of all members will do, as long as it is one for all sets: it is that of the
+    counts of the members' slots, a table of fixed size, and then of hashes.
     """
-    def counted(batches):
-        for batch in batches:
-            found, n = np.unique(np.frombuffer(b"".join(batch.column("members").to_pylist()), np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["member", "n"])
-
-    counts = staged(spark, sets.select("members").mapInArrow(counted, "member long, n long").groupBy("member").agg(
-        F.sum("n").alias("n")).filter("n > 1").withColumn("size", F.expr("cast(floor(log2(n)) as int)")), "counts")
-    least, held = 64, 0  # the lowest power of two whose members are few enough
-    for size, n in sorted(map(tuple, counts.groupBy("size").count().collect()), reverse=True):  # 63 rows at most
-        held += n
-        if held > COMMON:
-            break
-        least = size
-    top = counts.filter(F.col("size") >= least).select("member", "n").toPandas()
-    top_members = top["member"].to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(top_members)
-    shared = spark.sparkContext.broadcast((top_members[order], top["n"].to_numpy()[order]))
+    counts = slot_counts(spark, sets)
+    common = np.flatnonzero(counts)
+    shared = spark.sparkContext.broadcast((common.astype(np.uint64), counts[common]))
+    shift = 64 - SLOTS_LOG2
 
     def prefixes(batches):
         for batch in batches:
             found = [np.frombuffer(m, np.uint64) for m in batch.column("members").to_pylist()]
             if not found:
                 continue
-            rarest = [ranked(m, *shared.value)[:len(m) - -(-percent * len(m) // 100) + 1] for m in found]
+            rarest = [ranked(m, *shared.value, shift)[:len(m) - -(-percent * len(m) // 100) + 1] for m in found]
             n, taken = np.array([len(m) for m in found]), np.array([len(r) for r in rarest])
             size, place = np.repeat(n, taken), np.concatenate([np.arange(k) for k in taken])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rarest).view(np.int64)), pa.array(np.repeat(batch.column("fp").to_numpy(), taken)),
