@@ -116,3 +116,41 @@ def test_a_run_id_whose_first_write_was_cut_off(spark, tmp_path):
     (tmp_path / "cp" / "run").mkdir(parents=True)
     run = kept.writers.run_of(spark, str(tmp_path / "cp"))
     assert run and kept.writers.run_of(spark, str(tmp_path / "cp")) == run
+
+
+def test_kept_rollups_hold_versions_in_files_that_fold(spark, tmp_path):
+    base, topics = str(tmp_path / "base"), tmp_path / "topics" / "changes"
+    topics.mkdir(parents=True)
+    (topics / "1.txt").write_text("\n".join(history(1)[0]) + "\n")
+    kept.keep(readers.change_stream(spark, "changes", path=str(tmp_path / "topics")), base, every=None, fold_every=1).awaitTermination()
+    assert not (tmp_path / "base" / "checkpoints" / "kept" / "state").exists()
+    path = f"{base}/kept-orders/run={kept.writers.run_of(spark, f'{base}/checkpoints/kept')}"
+    before = sorted(map(str, kept.held_rows(spark, path, 0, 1).collect()))
+    assert before and len({(r.order_id, r.item_id) for r in kept.held_rows(spark, path, 0, 1).collect()}) == len(before)
+    kept.fold_held(spark, path, 0)  # the batch runs again
+    assert sorted(map(str, kept.held_rows(spark, path, 0, 1).collect())) == before
+
+
+def test_signed_rows_are_those_of_the_stateful_step(spark):
+    held = {}
+    rows = [(7, None, 5, 1, 3, "PENDING", 10, None, None, None, None, 150, None, False), (7, 1, 5, 1, None, None, None, 7200, 4, "b", 2, 300, 150, False),
+            (7, 2, 5, 1, None, None, None, 3600, 4, "a", None, None, None, False), (7, 3, 5, 1, None, None, None, None, 5, None, 1, 1, 1, False)]
+    late = [(7, None, 6, None, 3, "COMPLETED", 10, None, None, None, None, 150, None, False), (7, 1, 5, 1, None, None, None, 0, 9, "z", 9, 9, 9, False),
+            (7, 2, 6, 1, None, None, None, 3600, 4, "a", None, None, None, True)]
+    for row in rows:
+        held[row[1]] = row[1:]
+    before = kept.added(7, held)
+    for row in late:
+        if kept.newer(row[1:], held.get(row[1])):
+            held[row[1]] = row[1:]
+    want = kept.Counter()
+    for sign, side in ((-1, before), (1, kept.added(7, held))):
+        want.update({(sign, *r): n for r, n in side.items()})
+    frame = spark.createDataFrame([(*r, 0) for r in rows] + [(*r, 1) for r in late], kept.T.StructType([*kept.CHANGE, kept.T.StructField("batch_id", kept.T.LongType())]))
+    got = kept.Counter((1 if r.refs > 0 else -1, *r[:7], *map(abs, r[7:])) for r in kept.signed_rows(frame, 1).collect())
+    assert got == want
+
+
+def test_a_name_spelled_by_escapes_is_routed(texts):
+    events = texts('{"source":{"table":"\\u006frders"}}', '{"source":{"table":"orders"}}', '{"source":{"table":"order_items"}}', "orders", None)
+    assert routing.route(events, "orders").count() == 2
