@@ -144,3 +144,31 @@ def test_topic_rows(spark, seed_orders):
     assert {r.topic for r in rows} == {"orders-cdc"} and sorted(int(r.key) for r in rows) == list(range(1, 11))
     assert {r.topic for r in writers.topic_rows(tagged, one_topic="all-cdc").collect()} == {"all-cdc"}
     assert writers.STANDARD.batch_rows == 1000 and writers.FAST.batch_rows == 100
+
+
+def test_first_seen_holds_ids_in_files_for_the_period(spark, tmp_path):
+    from tidemark.streaming import dedup
+    log, place = str(tmp_path / "log"), str(tmp_path / "seen")
+    sink = dedup.first_seen_sink(writers.log_sink(log, ["id"], run="r"), lambda n: writers.batch_folder(log, "r", n), place, ttl_ms=100)
+
+    def batch(n, at, *rows):
+        frame = spark.createDataFrame([(i, ts, at) for i, ts in rows], "id long, cdc_ts_ms long, _batch_ms long")
+        sink(frame.withColumn("created_at", F.lit(None).cast("timestamp")), n)
+        return sorted((r.id or 0, r.cdc_ts_ms) for r in spark.read.parquet(f"{log}/run=r").filter(f"batch_id = {n}").collect())
+
+    assert batch(0, 1000, (1, 9), (1, 7), (1, None), (2, 5), (None, 3)) == [(0, 3), (1, 7), (2, 5)]
+    assert batch(1, 1050, (1, 1), (3, 4), (None, 1)) == [(3, 4)]
+    assert batch(1, 1050, (1, 1), (3, 4), (None, 1)) == [(3, 4)]  # runs again
+    assert batch(2, 1099, (2, 1), (3, 1)) == []
+    assert batch(3, 1100, (1, 2), (3, 2)) == [(1, 2)]  # held back rows do not extend the period
+    assert not (tmp_path / "seen" / "batch_id=0").exists() and (tmp_path / "seen" / "batch_id=1").exists()
+
+
+def test_first_seen_needs_no_state_store(spark, tmp_path):
+    base, topic = str(tmp_path / "base"), tmp_path / "topics" / "orders-cdc"
+    drop_file(topic, "1.txt", FIRST)
+    stream = readers.change_stream(spark, "orders-cdc", path=str(tmp_path / "topics"))
+    jobs.drain(jobs.sync(stream, "orders", base, every="1 second", mode="first_seen", state_partitions=2))
+    assert log_rows(spark, base) == [(1, 10, "c"), (2, 5, "c")]
+    checkpoint = tmp_path / "base" / "checkpoints" / "orders-first_seen"
+    assert not (checkpoint / "state").exists() and (checkpoint / "seen" / "batch_id=0").exists()
