@@ -44,3 +44,19 @@ def test_a_session_of_few_partitions_gets_reducers_of_bounded_size(spark):
     assert int(other.conf.get(session.INITIAL)) == session.INITIAL_PARTITIONS and other.conf.get("spark.sql.shuffle.partitions") == "12"
     other.conf.set("spark.sql.shuffle.partitions", "600")
     assert int(session.adopt(other).conf.get(session.INITIAL)) == 600
+
+
+def test_written_steps_leave_no_shuffle_files_and_a_keyed_topic_may_be_compressed(spark, tmp_path):
+    from tests.llm.test_freed import shuffle_bytes
+    from tidemark.operators import versions
+    rows = spark.range(300_000).selectExpr("id % 100000 as id", "id as cdc_ts_ms", "timestamp_seconds(id * 40) as created_at", "uuid() as note")
+    before = shuffle_bytes(spark)
+    path = str(tmp_path / "t")
+    versions.write_by_month(versions.latest(rows), path)
+    versions.compact_changes(spark, path, rows.withColumn("cdc_ts_ms", F.col("cdc_ts_ms") + 1))
+    assert shuffle_bytes(spark) - before < 100_000
+    drop_file(tmp_path / "source" / "changes", "1.txt", ['{"op":"u","after":{"id":1},"source":{"table":"orders"}}'] * 50)
+    stream = readers.change_stream(spark, "changes", path=f"{tmp_path}/source")
+    jobs.capture(stream, f"{tmp_path}/c", path=f"{tmp_path}/topics", every=None, one_topic="all", partitions=2, compression="gzip").awaitTermination()
+    files = list((tmp_path / "topics" / "topic=all").rglob("part-*"))
+    assert files and all(f.suffix == ".gz" for f in files) and spark.read.json(f"{tmp_path}/topics/topic=all").count() == 50
